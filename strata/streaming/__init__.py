@@ -1,0 +1,3 @@
+"""Streaming: the reference has no streaming operator (no watermark, window
+or stateful operator); late data is simply whatever lands on a later day.
+Nothing is built here.  See README.md."""
