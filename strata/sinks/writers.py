@@ -13,6 +13,12 @@ from strata.sinks.layout import OPEN_CLOSED_DT, SCD2_CLOSED_COL, TableSpec
 from strata.sources.paths import landing_dir
 
 
+def _refresh(df: DataFrame, path: str) -> None:
+    """Drop this session's cached listing of a folder just rewritten, so the
+    next read of the table sees the new files and not the replaced ones."""
+    df.sparkSession.catalog.refreshByPath(path)
+
+
 def _by_name(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
@@ -21,6 +27,7 @@ def append_by_name(df: DataFrame, spec: TableSpec, root: str) -> None:
     """Append rows, binding columns by name (a rerun appends the day again,
     as the reference's bronze does; downstream de-duplicates)."""
     _by_name(df, spec).write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path(root))
+    _refresh(df, spec.path(root))
 
 
 def replace_day(df: DataFrame, spec: TableSpec, root: str, dt: str) -> None:
@@ -32,6 +39,7 @@ def replace_day(df: DataFrame, spec: TableSpec, root: str, dt: str) -> None:
     day = _dt.date.fromisoformat(str(dt)).isoformat()
     rows = _by_name(df, spec).where(F.col("dt") == F.to_date(F.lit(day))).drop("dt")
     rows.write.mode("overwrite").parquet(f"{spec.path(root)}/dt={day}")
+    _refresh(df, spec.path(root))
 
 
 def write_dimension(
@@ -61,6 +69,7 @@ def write_dimension(
         .partitionBy(*spec.partition_by)
         .parquet(spec.path(root))
     )
+    _refresh(rows, spec.path(root))
 
 
 def export_landing(df: DataFrame, root: str, entity: str, dt: str | None = None) -> None:
@@ -68,7 +77,9 @@ def export_landing(df: DataFrame, root: str, entity: str, dt: str | None = None)
     ``<root>/raw/<entity>/dt=<dt>/``; with ``dt=None`` the frame's own ``dt``
     column lays out one folder per day."""
     writer = df.write.mode("overwrite").option("header", True)
+    path = landing_dir(root, entity, dt)
     if dt is None:
-        writer.partitionBy("dt").csv(landing_dir(root, entity))
+        writer.partitionBy("dt").csv(path)
     else:
-        writer.csv(landing_dir(root, entity, dt))
+        writer.csv(path)
+    _refresh(df, path)
