@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from strata.schemas import RAW_TS_FORMAT
 
-# Text accepted as an integer: optional sign, digits, optional fraction that
-# is truncated (the legacy non-ANSI cast semantics), surrounding whitespace.
-_INT_TEXT = r"^\s*([+-]?)([0-9]*)(?:[.]([0-9]*))?\s*$"
+# Text accepted as an integer: optional sign, at least one digit before or
+# after an optional point, the fraction truncated (the legacy non-ANSI cast),
+# surrounding whitespace.  Group 1 is the sign, group 2 the whole digits.
+_INT_TEXT = r"^\s*([+-]?)(?=[.]?[0-9])([0-9]*)(?:[.][0-9]*)?\s*$"
+# Sign, a literal 0 (so ".5" -> "0"), whole digits.
+_INT_NORMALIZED = "$1\\0$2"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,16 +28,19 @@ def _col(c: Column | str) -> Column:
 def parse_int(c: Column | str) -> Column:
     """String -> int, null when the text is not a number or overflows.
 
-    ``'2.7' -> 2``, ``'-3.9' -> -3``, ``' 7 ' -> 7``, ``'x' -> null``,
-    ``'3000000000' -> null``; a plain ``try_cast`` would null the decimals.
+    ``'2.7' -> 2``, ``'-3.9' -> -3``, ``'.5' -> 0``, ``' 7 ' -> 7``,
+    ``'x' -> null``, ``'1e2' -> null``, ``'3000000000' -> null``; a plain
+    ``try_cast`` would null the decimals.
+
+    Plain integers take the ``try_cast`` fast path (same value as the legacy
+    cast); other text is normalized by one regular-expression replace and cast
+    again (text that does not match is left as is and stays null).  The input
+    is referenced only twice on purpose: Catalyst inlines it into every filter
+    pushed below the projection.
     """
     text = _col(c).cast("string")
-    sign = F.regexp_extract(text, _INT_TEXT, 1)
-    whole = F.regexp_extract(text, _INT_TEXT, 2)
-    frac = F.regexp_extract(text, _INT_TEXT, 3)
-    matched = text.rlike(_INT_TEXT) & ((F.length(whole) > 0) | (F.length(frac) > 0))
-    digits = F.when(F.length(whole) > 0, whole).otherwise(F.lit("0"))
-    return F.when(matched, F.concat(sign, digits).try_cast("int"))
+    slow = F.regexp_replace(text, _INT_TEXT, _INT_NORMALIZED).try_cast("int")
+    return F.coalesce(text.try_cast("int"), slow)
 
 
 def parse_double(c: Column | str) -> Column:

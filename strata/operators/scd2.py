@@ -63,17 +63,25 @@ def stage_source(
 
 
 def scd2_plan(
-    current: DataFrame,
+    current: DataFrame | None,
     stg: DataFrame,
     key_col: str,
     tracked_cols: Sequence[str],
     order_cols: Sequence[str],
     run_ts: RunTs = None,
 ) -> Scd2Result:
-    """Classify the target's current rows against one staged snapshot."""
+    """Classify the target's current rows against one staged snapshot.
+
+    ``current=None`` is a target without rows (first load): every staged
+    key is inserted and no join is planned at all.
+    """
     cols = dim_columns(key_col, tracked_cols)
     now = run_ts_col(run_ts)
     src = stage_source(stg, key_col, tracked_cols, order_cols)
+    if current is None:
+        inserted = _new_versions(src, key_col, tracked_cols, now)
+        nothing = inserted.where(F.lit(False))
+        return Scd2Result(nothing, nothing, inserted)
 
     flagged = current.select(*cols).join(
         src.select(key_col, F.col(HASH_COL).alias("_src_hash")), key_col, "left"
@@ -90,7 +98,14 @@ def scd2_plan(
             for c in cols
         ]
     )
-    inserted = src.join(unchanged.select(key_col), key_col, "left_anti").select(
+    inserted = _new_versions(
+        src.join(unchanged.select(key_col), key_col, "left_anti"), key_col, tracked_cols, now
+    )
+    return Scd2Result(unchanged, expired, inserted)
+
+
+def _new_versions(src: DataFrame, key_col: str, tracked_cols: Sequence[str], now) -> DataFrame:
+    return src.select(
         key_col,
         *tracked_cols,
         HASH_COL,
@@ -99,7 +114,6 @@ def scd2_plan(
         F.lit(True).alias("is_current"),
         "ingest_ts",
     )
-    return Scd2Result(unchanged, expired, inserted)
 
 
 def split_dimension(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,19 +124,19 @@ def split_dimension(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def scd2_apply(
-    dim: DataFrame,
+    dim: DataFrame | None,
     stg: DataFrame,
     key_col: str,
     tracked_cols: Sequence[str],
     order_cols: Sequence[str],
     run_ts: RunTs = None,
 ) -> DataFrame:
-    """The whole dimension after merging one staged snapshot."""
+    """The whole dimension after merging one staged snapshot
+    (``dim=None``: first load into an empty dimension)."""
     cols = dim_columns(key_col, tracked_cols)
+    if dim is None:
+        return scd2_plan(None, stg, key_col, tracked_cols, order_cols, run_ts).inserted
     current, history = split_dimension(dim)
     plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
     return history.select(*cols).unionByName(plan.current_and_closed())
 
-
-def empty_dimension(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)

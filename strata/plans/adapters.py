@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.tables import read_parquet
+
 # Fixed values of the two-day scenario.
 DAY1, DAY2 = "2026-02-20", "2026-02-21"
 RUN1, RUN2 = "2026-02-21 06:00:00", "2026-02-22 06:00:00"
@@ -36,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """A large table, pruned and spread over all cores if its file has too
+    few splits to keep them busy (see :func:`strata.sources.tables.spread`)."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns)
+
+
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -45,10 +53,10 @@ def _pad(c: Column, left: str = "  ", right: str = " ") -> Column:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate",
         "l_returnflag", "l_linestatus", "l_tax", "l_discount",
-    )
+    ])
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "left").join(pt, li.l_partkey == pt.p_partkey, "left")

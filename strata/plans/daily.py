@@ -73,8 +73,7 @@ def merge_dimension(
             .select(*spec.schema.names)
         )
     else:
-        current = spark.createDataFrame([], spec.schema)
-        closed_today = spark.createDataFrame([], spec.schema)
+        current = closed_today = None
     plan = scd2_plan(current, stg, dim["key"], dim["tracked"], dim["order"], run_ts)
     write_dimension(spark, spec, root, plan.current_and_closed(), closed_today, dt)
 

@@ -62,10 +62,9 @@ def staged(spark: SparkSession, sf_dir: str, entity: str, day: str) -> DataFrame
 
 
 def dimension_day1(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec, schema, _, _ = _dim_spec(entity)
-    empty = spark.createDataFrame([], schema)
+    spec = _dim_spec(entity)[0]
     stg1 = staged(spark, sf_dir, entity, A.DAY1)
-    return scd2_apply(empty, stg1, spec["key"], spec["tracked"], spec["order"], A.RUN1)
+    return scd2_apply(None, stg1, spec["key"], spec["tracked"], spec["order"], A.RUN1)
 
 
 def dimension_two_days(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:

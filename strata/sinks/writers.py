@@ -47,7 +47,7 @@ def write_dimension(
     spec: TableSpec,
     root: str,
     current_and_closed: DataFrame,
-    previously_closed_today: DataFrame,
+    previously_closed_today: DataFrame | None,
     dt: str,
 ) -> None:
     """Rewrite the current folder and today's closed folder in one job.
@@ -60,9 +60,11 @@ def write_dimension(
     """
     day = _dt.date.fromisoformat(str(dt)).isoformat()
     closed_dt = F.when(F.col("is_current"), F.to_date(F.lit(OPEN_CLOSED_DT))).otherwise(F.to_date(F.lit(day)))
-    rows = _by_name(current_and_closed, spec).withColumn(SCD2_CLOSED_COL, closed_dt).unionByName(
-        _by_name(previously_closed_today, spec).withColumn(SCD2_CLOSED_COL, F.to_date(F.lit(day)))
-    )
+    rows = _by_name(current_and_closed, spec).withColumn(SCD2_CLOSED_COL, closed_dt)
+    if previously_closed_today is not None:
+        rows = rows.unionByName(
+            _by_name(previously_closed_today, spec).withColumn(SCD2_CLOSED_COL, F.to_date(F.lit(day)))
+        )
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

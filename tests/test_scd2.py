@@ -17,7 +17,7 @@ def stg(spark, rows, day):
     )
 
 
-def run(dim, stage, day):
+def run(dim, stage, day):  # dim=None: first load
     return scd2_apply(dim, stage, KEY, TRACKED, ORDER, f"2026-02-{day + 1:02d} 06:00:00")
 
 
@@ -113,3 +113,8 @@ def test_invariants_one_current_row_and_ordered_effective_times(spark):
     assert d.where("is_current").groupBy(KEY).count().where("count > 1").count() == 0
     assert d.where("NOT is_current AND NOT (effective_from_ts < effective_to_ts)").count() == 0
     assert d.where("customer_id = 'A'").count() == 3
+
+
+def test_first_load_without_target_equals_load_into_empty_target(spark):
+    s = stg(spark, [("A", "a", "a@x", "L", 8), ("B", "b", "b@x", "M", 8), ("A", "a", "a@x", "Z", 7)], 20)
+    assert versions(run(None, s, 20)) == versions(run(empty(spark), s, 20))
