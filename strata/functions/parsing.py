@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from strata.schemas import RAW_TS_FORMAT
 
-# Text accepted as an integer: optional sign, at least one digit before or
-# after an optional point, the fraction truncated (the legacy non-ANSI cast),
-# surrounding whitespace.  Group 1 is the sign, group 2 the whole digits.
-_INT_TEXT = r"^\s*([+-]?)(?=[.]?[0-9])([0-9]*)(?:[.][0-9]*)?\s*$"
+# Text accepted as an integer by the legacy (non-ANSI) cast: surrounding
+# whitespace, optional sign, then digits and/or a point followed by digits;
+# the fraction is truncated.  A bare point counts as zero, a bare sign does
+# not.  Group 1 is the sign, group 2 the whole digits.
+_INT_TEXT = r"^\s*([+-]?)(?=[.0-9])([0-9]*)(?:[.][0-9]*)?\s*$"
 # Sign, a literal 0 (so ".5" -> "0"), whole digits.
 _INT_NORMALIZED = "$1\\0$2"
 
@@ -28,7 +29,7 @@ def _col(c: Column | str) -> Column:
 def parse_int(c: Column | str) -> Column:
     """String -> int, null when the text is not a number or overflows.
 
-    ``'2.7' -> 2``, ``'-3.9' -> -3``, ``'.5' -> 0``, ``' 7 ' -> 7``,
+    ``'2.7' -> 2``, ``'-3.9' -> -3``, ``'.5' -> 0``, ``'.' -> 0``, ``' 7 ' -> 7``,
     ``'x' -> null``, ``'1e2' -> null``, ``'3000000000' -> null``; a plain
     ``try_cast`` would null the decimals.
 

@@ -16,7 +16,7 @@ INT_TEXT = r"^\s*([+-]?)([0-9]*)(?:[.]([0-9]*))?\s*$"
 def _parse_int(x: str) -> str:
     g = lambda i: f"regexp_extract({x}, '{INT_TEXT}', {i})"
     return (
-        f"CASE WHEN regexp_matches({x}, '{INT_TEXT}') AND ({g(2)} <> '' OR {g(3)} <> '') "
+        f"CASE WHEN regexp_matches({x}, '{INT_TEXT}') AND regexp_matches({x}, '^\\s*[+-]?[.0-9]') "
         f"THEN TRY_CAST({g(1)} || CASE WHEN {g(2)} = '' THEN '0' ELSE {g(2)} END AS INTEGER) END"
     )
 

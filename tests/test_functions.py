@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strata.functions import change_hash, parse_double, parse_int, parse_timestamp, previous_business_date
@@ -10,7 +12,8 @@ from strata.sources.paths import raw_customers_path, raw_entity_path, raw_orders
 INT_CASES = [
     ("2", 2), ("2.7", 2), ("-3.9", -3), ("2.", 2), (" 7 ", 7), ("007", 7), ("0", 0),
     ("1e2", None), ("x", None), ("", None), ("   ", None), (None, None),
-    ("3000000000", None), ("-2147483648", -2147483648), (".5", 0), ("+4", 4), ("-", None), (".", None),
+    ("3000000000", None), ("-2147483648", -2147483648), (".5", 0), ("+4", 4), ("-", None), (".", 0),
+    ("-.", 0), ("+", None), ("1.2.3", None), ("- 1", None), ("2147483647.9", 2147483647), ("2147483648", None),
 ]
 
 
@@ -20,6 +23,34 @@ def test_parse_int_legacy_cast_semantics(spark):
     assert got == [e for _, e in INT_CASES]
 
 
+def legacy_int(text):
+    """Model of the legacy (non-ANSI) string -> int cast: trim, sign, digits,
+    an optional well-formed fraction that is truncated, overflow -> null."""
+    if text is None:
+        return None
+    t = text.strip(" ")
+    if not t:
+        return None
+    neg = t[0] == "-"
+    if t[0] in "+-":
+        t = t[1:]
+        if not t:
+            return None
+    whole, _, frac = t.partition(".")
+    if not all(ch in "0123456789" for ch in whole) or not all(ch in "0123456789" for ch in frac):
+        return None
+    value = -int(whole or "0") if neg else int(whole or "0")
+    return value if -(2**31) <= value < 2**31 else None
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789 .+-xe", max_size=8), min_size=1, max_size=40))
+def test_parse_int_matches_legacy_cast_model(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(parse_int("s")).collect()]
+    assert got == [legacy_int(t) for t in texts]
+
+
 def test_parse_double_and_timestamp_never_raise(spark):
     df = spark.createDataFrame(
         [("12.50", "2026-02-20 10:00:00"), ("x", "2026/02/20 10:00"), (" 3.5 ", "nope"), ("NaN", None), ("1e2", "")],
