@@ -48,14 +48,13 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private temp folder only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder named by the cluster; only if the session
+    has none (local tests) a private temporary folder is registered."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
