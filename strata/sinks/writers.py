@@ -23,10 +23,18 @@ def _by_name(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
-def append_by_name(df: DataFrame, spec: TableSpec, root: str) -> None:
+def append_by_name(df: DataFrame, spec: TableSpec, root: str, rebalance: bool = False) -> None:
     """Append rows, binding columns by name (a rerun appends the day again,
-    as the reference's bronze does; downstream de-duplicates)."""
-    _by_name(df, spec).write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path(root))
+    as the reference's bronze does; downstream de-duplicates).
+
+    ``rebalance=True`` is for frames spanning many days (a backfill): rows are
+    clustered by the partition columns first (AQE ``REBALANCE``, skewed days
+    split), so each day gets a few full-size files.  A single day needs no
+    extra shuffle: every input split writes one file."""
+    rows = _by_name(df, spec)
+    if rebalance:
+        rows = rows.hint("rebalance", *spec.partition_by)
+    rows.write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path(root))
     _refresh(df, spec.path(root))
 
 
@@ -76,12 +84,16 @@ def write_dimension(
 
 def export_landing(df: DataFrame, root: str, entity: str, dt: str | None = None) -> None:
     """Landing snapshot as headed CSV part files under
-    ``<root>/raw/<entity>/dt=<dt>/``; with ``dt=None`` the frame's own ``dt``
-    column lays out one folder per day."""
-    writer = df.write.mode("overwrite").option("header", True)
+    ``<root>/raw/<entity>/dt=<dt>/``.
+
+    With ``dt=None`` the frame's own ``dt`` column lays out one folder per
+    day.  Rows are first rebalanced on ``dt`` (AQE ``REBALANCE``): files come
+    out at the advisory partition size and a day holding a large share of
+    all rows is split over several tasks, instead of every task writing a
+    small file into every day it touches."""
     path = landing_dir(root, entity, dt)
     if dt is None:
-        writer.partitionBy("dt").csv(path)
+        df.hint("rebalance", "dt").write.mode("overwrite").option("header", True).partitionBy("dt").csv(path)
     else:
-        writer.csv(path)
+        df.write.mode("overwrite").option("header", True).csv(path)
     _refresh(df, path)

@@ -117,3 +117,22 @@ def test_ensure_catalog_is_idempotent(spark, tmp_root):
     ensure_catalog(spark, tmp_root)
     ensure_catalog(spark, tmp_root)
     assert {r["tableName"] for r in list_tables(spark, "silver").collect()} >= {"dim_customer_scd2", "dim_product_scd2", "fact_orders"}
+
+
+def test_multi_day_export_writes_few_files_per_day(spark, tmp_root):
+    import glob
+
+    from strata.sources import read_landing_days
+
+    df = spark.range(0, 20000, 1, 8).select(
+        F.col("id").cast("string").alias("order_id"), F.lit("2026-02-20 09:00:00").alias("order_ts"),
+        F.lit("C1").alias("customer_id"), F.lit("P1").alias("product_id"), F.lit("1").alias("quantity"),
+        F.lit("1.0").alias("unit_price"),
+        F.when(F.col("id") % 3 == 0, F.lit("2026-02-21")).otherwise(F.lit("2026-02-20")).cast("date").alias("dt"),
+    )
+    export_landing(df, tmp_root, "orders")
+    back = read_landing_days(spark, tmp_root, "orders")
+    assert back.count() == 20000
+    assert back.where("dt = DATE'2026-02-21'").count() == 6667
+    files = glob.glob(os.path.join(tmp_root, "raw", "orders", "dt=*", "*.csv"))
+    assert 2 <= len(files) < 16  # not one file per (task, day)
