@@ -9,7 +9,7 @@ through stored tables, which also cuts lineage between steps.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,23 +59,47 @@ def ingest_bronze(
             append_by_name(out, spec, root)
 
 
-def merge_dimension(
-    spark: SparkSession, root: str, dt: str, spec: L.TableSpec, stg_spec: L.TableSpec, dim: dict, run_ts: RunTs
+def scd2_merge(
+    spark: SparkSession,
+    stg: DataFrame,
+    target_table: str | L.TableSpec,
+    key_col: str,
+    tracked_cols: Sequence[str],
+    order_cols: Sequence[str],
+    root: str,
+    dt: str,
+    run_ts: RunTs = None,
 ) -> None:
-    stg = read_day(spark, stg_spec, root, dt)
+    """Merge one staged snapshot into a stored SCD2 dimension.
+
+    ``target_table`` is a :class:`TableSpec` or a qualified name such as
+    ``"silver.dim_customer_scd2"``; ``dt`` is the business day of the run
+    (it names the folder that receives the versions this run closes).
+    Only the current folder and that day's closed folder are read and
+    rewritten; older history is not touched.
+    """
+    spec = L.table_spec(target_table) if isinstance(target_table, str) else target_table
+    day = _dt.date.fromisoformat(str(dt)).isoformat()
     if _exists(spark, spec, root):
         current = read_current(spark, spec, root)
         closed_today = (
             spark.read.schema(spec.storage_schema)
             .parquet(spec.path(root))
-            .where(F.col(L.SCD2_CLOSED_COL) == F.to_date(F.lit(dt)))
+            .where(F.col(L.SCD2_CLOSED_COL) == F.to_date(F.lit(day)))
             .where(~F.coalesce(F.col("is_current"), F.lit(False)))
             .select(*spec.schema.names)
         )
     else:
         current = closed_today = None
-    plan = scd2_plan(current, stg, dim["key"], dim["tracked"], dim["order"], run_ts)
-    write_dimension(spark, spec, root, plan.current_and_closed(), closed_today, dt)
+    plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
+    write_dimension(spark, spec, root, plan.current_and_closed(), closed_today, day)
+
+
+def merge_dimension(
+    spark: SparkSession, root: str, dt: str, spec: L.TableSpec, stg_spec: L.TableSpec, dim: dict, run_ts: RunTs
+) -> None:
+    stg = read_day(spark, stg_spec, root, dt)
+    scd2_merge(spark, stg, spec, dim["key"], dim["tracked"], dim["order"], root, dt, run_ts)
 
 
 def load_fact(spark: SparkSession, root: str, dt: str) -> None:

@@ -64,3 +64,11 @@ TABLES: tuple[TableSpec, ...] = (
     FACT_ORDERS,
     DAILY_PRODUCT_SALES,
 )
+
+
+def table_spec(qualified_name: str) -> TableSpec:
+    """The spec of a stored table by ``layer.name``."""
+    for spec in TABLES:
+        if spec.qualified_name == qualified_name or spec.name == qualified_name:
+            return spec
+    raise KeyError(f"unknown table {qualified_name!r}; known: {[t.qualified_name for t in TABLES]}")

@@ -136,3 +136,13 @@ def test_multi_day_export_writes_few_files_per_day(spark, tmp_root):
     assert back.where("dt = DATE'2026-02-21'").count() == 6667
     files = glob.glob(os.path.join(tmp_root, "raw", "orders", "dt=*", "*.csv"))
     assert 2 <= len(files) < 16  # not one file per (task, day)
+
+
+def test_rerun_in_append_mode_keeps_silver_and_gold(spark, tmp_root):
+    landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "wh")
+    _scenario(spark, landing)
+    run_day(spark, root, DAYS[0], "2026-02-21 06:00:00", landing_root=landing, register=False)
+    before = _snapshot(spark, root)
+    run_day(spark, root, DAYS[0], "2026-02-21 09:00:00", landing_root=landing, register=False)
+    assert read_day(spark, L.ORDERS_STG, root, DAYS[0]).count() == 10  # bronze appended twice, as the reference
+    assert _snapshot(spark, root) == before
