@@ -3,6 +3,10 @@
 Read with a header and no schema, then select the expected columns by
 name: a user schema would bind by position and silently mislabel a file
 whose columns were reordered; a missing column fails at analysis instead.
+Over many files Spark takes the names from one file's header and binds the
+others by position, so ``enforceSchema=false`` is set: each file's header is
+checked against those names and a file with reordered columns fails the read
+instead of loading mislabelled values.
 Permissive mode (the default): short rows give nulls, extra fields drop,
 blank and quoted-blank fields read as null.
 """
@@ -26,7 +30,7 @@ RAW_COLUMNS = {
 
 def read_landing(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """One landed file or folder, all columns as text, bound by header name."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
 
 
@@ -34,6 +38,6 @@ def read_landing_days(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """Every landed day of ``entity``; ``dt`` comes from the folder names
     and filters on it prune folders before any file is opened."""
     path = landing_dir(root, entity)
-    raw = spark.read.option("header", True).option("basePath", path).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("basePath", path).csv(path)
     cols = RAW_COLUMNS[entity]
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols], F.col("dt").cast("date"))

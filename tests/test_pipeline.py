@@ -146,3 +146,17 @@ def test_rerun_in_append_mode_keeps_silver_and_gold(spark, tmp_root):
     run_day(spark, root, DAYS[0], "2026-02-21 09:00:00", landing_root=landing, register=False)
     assert read_day(spark, L.ORDERS_STG, root, DAYS[0]).count() == 10  # bronze appended twice, as the reference
     assert _snapshot(spark, root) == before
+
+
+def test_reordered_columns_across_days_fail_instead_of_mislabel(spark, tmp_root):
+    import pytest
+
+    from strata.sources import read_landing_days
+
+    for day, header, row in (("2026-02-20", "order_id,quantity", "O1,2"), ("2026-02-21", "quantity,order_id", "3,O2")):
+        folder = os.path.join(tmp_root, "raw", "orders", f"dt={day}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "part.csv"), "w") as f:
+            f.write(f"{header},order_ts,customer_id,product_id,unit_price\n{row},,,,\n")
+    with pytest.raises(Exception):
+        read_landing_days(spark, tmp_root, "orders").collect()
