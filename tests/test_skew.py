@@ -1,0 +1,22 @@
+"""A key holding a third of all rows must not land on one reduce task
+(tools/skew_check.py measures per-task shuffle reads from the event log)."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_hot_key_is_cut_before_the_shuffle():
+    n = 120_000
+    out = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "tools", "skew_check.py"), str(n)],
+        capture_output=True, text=True, timeout=600, check=True,
+    ).stdout.strip().splitlines()[-1]
+    jobs = json.loads(out)["jobs"]
+    assert set(jobs) == {"fact dedupe (hot order_id)", "gold aggregate (hot product)", "scd2 source (hot customer)"}
+    for name, m in jobs.items():
+        assert m["max_task_records"] < n / 6, (name, m)  # the hot third alone would be n / 3
+        assert m["max_over_mean_task"] < 2.0, (name, m)
