@@ -16,7 +16,9 @@ def test_hot_key_is_cut_before_the_shuffle():
         capture_output=True, text=True, timeout=600, check=True,
     ).stdout.strip().splitlines()[-1]
     jobs = json.loads(out)["jobs"]
-    assert set(jobs) == {"fact dedupe (hot order_id)", "gold aggregate (hot product)", "scd2 source (hot customer)"}
+    assert set(jobs) == {"fact dedupe (hot order_id)", "gold aggregate (hot product)", "scd2 source (hot customer)",
+                         "landing export (hot day)"}
     for name, m in jobs.items():
         assert m["max_task_records"] < n / 6, (name, m)  # the hot third alone would be n / 3
-        assert m["max_over_mean_task"] < 2.0, (name, m)
+        if not name.startswith("landing"):  # rebalance sizes its tasks by bytes, not evenly
+            assert m["max_over_mean_task"] < 2.0, (name, m)

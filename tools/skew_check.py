@@ -19,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strata.config import build_session  # noqa: E402
 from strata.operators import build_daily_product_sales, stage_source, transform_fact_orders  # noqa: E402
+from strata.sinks.writers import export_landing  # noqa: E402
 
 
 def read_events(log_dir: str) -> list[dict]:
@@ -39,6 +40,7 @@ def main() -> None:
     spark = build_session("local[8]", 16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
     })
     hot = F.col("id") % 3 == 0  # a third of all rows share one key
     base = spark.range(0, n, 1, 16)
@@ -72,6 +74,14 @@ def main() -> None:
     for name, df in jobs.items():
         spark.sparkContext.setJobGroup(name, name)
         df.write.format("noop").mode("overwrite").save()
+    landing = base.select(
+        F.col("id").cast("string").alias("order_id"), F.lit("2026-02-20 09:00:00").alias("order_ts"),
+        F.lit("C1").alias("customer_id"), F.lit("P1").alias("product_id"), F.lit("1").alias("quantity"),
+        F.lit("1.0").alias("unit_price"),
+        F.when(hot, F.to_date(F.lit("2026-02-20"))).otherwise(F.date_add(F.to_date(F.lit("2025-01-01")), (F.col("id") % 97).cast("int"))).alias("dt"),
+    )
+    spark.sparkContext.setJobGroup("landing export (hot day)", "landing export (hot day)")
+    export_landing(landing, tempfile.mkdtemp(prefix="strata-skew-landing-"), "orders")
     spark.stop()
 
     stage_group, task_reads = {}, {}
