@@ -160,3 +160,21 @@ def test_reordered_columns_across_days_fail_instead_of_mislabel(spark, tmp_root)
             f.write(f"{header},order_ts,customer_id,product_id,unit_price\n{row},,,,\n")
     with pytest.raises(Exception):
         read_landing_days(spark, tmp_root, "orders").collect()
+
+
+def test_dimension_history_folders_are_never_rewritten(spark, tmp_root):
+    import glob
+
+    landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "wh")
+    _scenario(spark, landing)
+    run_day(spark, root, DAYS[0], "2026-02-21 06:00:00", landing_root=landing, register=False)
+    run_day(spark, root, DAYS[1], "2026-02-22 06:00:00", landing_root=landing, register=False)
+    dim_path = L.DIM_CUSTOMER.path(root)
+    closed = glob.glob(os.path.join(dim_path, "is_current=false", f"closed_dt={DAYS[1]}", "*.parquet"))
+    assert closed, "day 2 closed London"
+    before = {f: (os.stat(f).st_mtime_ns, os.path.getsize(f)) for f in closed}
+    run_day(spark, root, DAYS[2], "2026-02-23 06:00:00", landing_root=landing, register=False)
+    after = {f: (os.stat(f).st_mtime_ns, os.path.getsize(f)) for f in closed if os.path.exists(f)}
+    assert after == before
+    folders = sorted(os.path.basename(p) for p in glob.glob(os.path.join(dim_path, "is_current=false", "closed_dt=*")))
+    assert folders == [f"closed_dt={DAYS[1]}", f"closed_dt={DAYS[2]}"]
