@@ -6,6 +6,8 @@ stay the source of truth and a new session re-registers them idempotently.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sinks.layout import TABLES, TableSpec
@@ -13,21 +15,49 @@ from strata.sinks.layout import TABLES, TableSpec
 LAYERS = ("bronze", "silver", "gold")
 
 
-def table_ddl(spec: TableSpec, root: str) -> str:
+def table_ddl(spec: TableSpec, root: str, buckets: int | None = None) -> str:
     cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.storage_schema.fields)
     parts = ", ".join(f"`{c}`" for c in spec.partition_by)
+    clustered = f"\nCLUSTERED BY (`{spec.bucket_col}`) INTO {buckets} BUCKETS" if buckets else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {spec.qualified_name} (\n  {cols}\n)\n"
-        f"USING parquet\nPARTITIONED BY ({parts})\nLOCATION '{spec.path(root)}'"
+        f"USING parquet\nPARTITIONED BY ({parts}){clustered}\nLOCATION '{spec.path(root)}'"
     )
 
 
-def ensure_catalog(spark: SparkSession, root: str) -> None:
-    """``CREATE DATABASE/TABLE IF NOT EXISTS`` for all layers and tables."""
+def _norm(path: str) -> str:
+    path = re.sub(r"^file:/+", "/", path)
+    return path.rstrip("/")
+
+
+def table_details(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
+def ensure_table(spark: SparkSession, spec: TableSpec, root: str, buckets: int | None = None) -> str:
+    """Register ``spec`` at ``root`` (idempotent) and check that an existing
+    registration points at the same folder with the same bucketing, so a
+    session never reads or writes another warehouse by name."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {spec.layer}")
+    spark.sql(table_ddl(spec, root, buckets if spec.bucket_col else None))
+    info = table_details(spark, spec.qualified_name)
+    if _norm(info.get("Location", "")) != _norm(spec.path(root)):
+        raise ValueError(f"{spec.qualified_name} is registered at {info.get('Location')}, not {spec.path(root)}")
+    have = int(info["Num Buckets"]) if info.get("Num Buckets", "").strip().lstrip("-").isdigit() else None
+    want = buckets if spec.bucket_col else None
+    if (have or None) != want:
+        raise ValueError(f"{spec.qualified_name} has {have} buckets, expected {want}")
+    return spec.qualified_name
+
+
+def ensure_catalog(spark: SparkSession, root: str, dim_buckets: int | None = None) -> None:
+    """``CREATE DATABASE/TABLE IF NOT EXISTS`` for all layers and tables;
+    ``dim_buckets`` registers the SCD2 dimensions bucketed by their key."""
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for spec in TABLES:
-        spark.sql(table_ddl(spec, root))
+        spark.sql(table_ddl(spec, root, dim_buckets if spec.bucket_col else None))
 
 
 def refresh_partitions(spark: SparkSession, spec: TableSpec) -> None:

@@ -24,10 +24,10 @@ from strata.operators import (
     transform_fact_orders,
 )
 from strata.operators._common import RunTs
-from strata.plans.catalog import ensure_catalog
+from strata.plans.catalog import ensure_catalog, ensure_table
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks import layout as L
-from strata.sinks.writers import append_by_name, replace_day, write_dimension
+from strata.sinks.writers import append_by_name, replace_day, write_dimension, write_dimension_table
 from strata.sources.landing import RAW_COLUMNS, read_landing
 from strata.sources.paths import landing_dir
 from strata.sources.tables import read_current, read_day, read_table
@@ -69,6 +69,7 @@ def scd2_merge(
     root: str,
     dt: str,
     run_ts: RunTs = None,
+    buckets: int | None = None,
 ) -> None:
     """Merge one staged snapshot into a stored SCD2 dimension.
 
@@ -77,9 +78,25 @@ def scd2_merge(
     (it names the folder that receives the versions this run closes).
     Only the current folder and that day's closed folder are read and
     rewritten; older history is not touched.
+
+    ``buckets=N`` keeps the dimension as a catalog table bucketed by its key
+    into N buckets (use the session's shuffle partition count): the current
+    rows are then read already hash-partitioned by key and the merge join
+    shuffles only the staged snapshot.  A warehouse is either bucketed or
+    not from its first run on.
     """
     spec = L.table_spec(target_table) if isinstance(target_table, str) else target_table
     day = _dt.date.fromisoformat(str(dt)).isoformat()
+    if buckets:
+        name = ensure_table(spark, spec, root, buckets)
+        table = spark.table(name)
+        current = table.where(F.col("is_current")).select(*spec.schema.names)
+        closed_today = table.where(
+            (F.col(L.SCD2_CLOSED_COL) == F.to_date(F.lit(day))) & ~F.coalesce(F.col("is_current"), F.lit(False))
+        ).select(*spec.schema.names)
+        plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
+        write_dimension_table(spark, spec, name, plan.current_and_closed(), closed_today, day)
+        return
     if _exists(spark, spec, root):
         current = read_current(spark, spec, root)
         closed_today = (
@@ -96,10 +113,17 @@ def scd2_merge(
 
 
 def merge_dimension(
-    spark: SparkSession, root: str, dt: str, spec: L.TableSpec, stg_spec: L.TableSpec, dim: dict, run_ts: RunTs
+    spark: SparkSession,
+    root: str,
+    dt: str,
+    spec: L.TableSpec,
+    stg_spec: L.TableSpec,
+    dim: dict,
+    run_ts: RunTs,
+    buckets: int | None = None,
 ) -> None:
     stg = read_day(spark, stg_spec, root, dt)
-    scd2_merge(spark, stg, spec, dim["key"], dim["tracked"], dim["order"], root, dt, run_ts)
+    scd2_merge(spark, stg, spec, dim["key"], dim["tracked"], dim["order"], root, dt, run_ts, buckets)
 
 
 def load_fact(spark: SparkSession, root: str, dt: str) -> None:
@@ -109,7 +133,7 @@ def load_fact(spark: SparkSession, root: str, dt: str) -> None:
 
 def load_gold(spark: SparkSession, root: str, dt: str, run_ts: RunTs) -> None:
     fact = read_day(spark, L.FACT_ORDERS, root, dt)
-    dim = read_current(spark, L.DIM_PRODUCT, root)
+    dim = read_current(spark, L.DIM_PRODUCT, root)  # by path: bucketing is not needed here
     replace_day(build_daily_product_sales(fact, dim, run_ts), L.DAILY_PRODUCT_SALES, root, dt)
 
 
@@ -121,18 +145,21 @@ def run_day(
     landing_root: str | None = None,
     bronze_mode: str = "append",
     register: bool = True,
+    dim_buckets: int | None = None,
 ) -> None:
     """Run all data steps for business day ``dt`` against warehouse ``root``.
 
     ``run_ts`` is the run's processing instant (one value for the whole run,
     so an expired version's end meets its successor's start exactly).
+    ``dim_buckets`` keeps both dimensions bucketed by key (see
+    :func:`scd2_merge`).
     """
     dt = _dt.date.fromisoformat(str(dt)).isoformat()
     if register:
-        ensure_catalog(spark, root)
+        ensure_catalog(spark, root, dim_buckets)
     ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode)
-    merge_dimension(spark, root, dt, L.DIM_CUSTOMER, L.CUSTOMERS_STG, CUSTOMER_DIM_SPEC, run_ts)
-    merge_dimension(spark, root, dt, L.DIM_PRODUCT, L.PRODUCTS_STG, PRODUCT_DIM_SPEC, run_ts)
+    merge_dimension(spark, root, dt, L.DIM_CUSTOMER, L.CUSTOMERS_STG, CUSTOMER_DIM_SPEC, run_ts, dim_buckets)
+    merge_dimension(spark, root, dt, L.DIM_PRODUCT, L.PRODUCTS_STG, PRODUCT_DIM_SPEC, run_ts, dim_buckets)
     load_fact(spark, root, dt)
     load_gold(spark, root, dt, run_ts)
 

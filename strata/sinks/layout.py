@@ -28,6 +28,7 @@ class TableSpec:
     schema: StructType
     partition_by: tuple[str, ...]
     storage_only: tuple[StructField, ...] = field(default=())
+    bucket_col: str | None = None  # key used when the table is bucketed (opt-in)
 
     @property
     def qualified_name(self) -> str:
@@ -50,8 +51,12 @@ _CLOSED = (StructField(SCD2_CLOSED_COL, DateType(), True),)
 CUSTOMERS_STG = TableSpec("bronze", "customers_stg", S.CUSTOMERS_STG, ("dt",))
 PRODUCTS_STG = TableSpec("bronze", "products_stg", S.PRODUCTS_STG, ("dt",))
 ORDERS_STG = TableSpec("bronze", "orders_stg", S.ORDERS_STG, ("dt",))
-DIM_CUSTOMER = TableSpec("silver", "dim_customer_scd2", S.DIM_CUSTOMER, ("is_current", SCD2_CLOSED_COL), _CLOSED)
-DIM_PRODUCT = TableSpec("silver", "dim_product_scd2", S.DIM_PRODUCT, ("is_current", SCD2_CLOSED_COL), _CLOSED)
+DIM_CUSTOMER = TableSpec(
+    "silver", "dim_customer_scd2", S.DIM_CUSTOMER, ("is_current", SCD2_CLOSED_COL), _CLOSED, "customer_id"
+)
+DIM_PRODUCT = TableSpec(
+    "silver", "dim_product_scd2", S.DIM_PRODUCT, ("is_current", SCD2_CLOSED_COL), _CLOSED, "product_id"
+)
 FACT_ORDERS = TableSpec("silver", "fact_orders", S.FACT_ORDERS, ("dt",))
 DAILY_PRODUCT_SALES = TableSpec("gold", "daily_product_sales", S.DAILY_PRODUCT_SALES, ("dt",))
 

@@ -66,13 +66,7 @@ def write_dimension(
     exactly the folders that receive rows; tasks write to a staging folder and
     the job commit moves them, so a lost executor only re-runs its tasks.
     """
-    day = _dt.date.fromisoformat(str(dt)).isoformat()
-    closed_dt = F.when(F.col("is_current"), F.to_date(F.lit(OPEN_CLOSED_DT))).otherwise(F.to_date(F.lit(day)))
-    rows = _by_name(current_and_closed, spec).withColumn(SCD2_CLOSED_COL, closed_dt)
-    if previously_closed_today is not None:
-        rows = rows.unionByName(
-            _by_name(previously_closed_today, spec).withColumn(SCD2_CLOSED_COL, F.to_date(F.lit(day)))
-        )
+    rows = _dimension_rows(spec, current_and_closed, previously_closed_today, dt)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -82,6 +76,47 @@ def write_dimension(
     _refresh(rows, spec.path(root))
 
 
+def _dimension_rows(
+    spec: TableSpec, current_and_closed: DataFrame, previously_closed_today: DataFrame | None, dt: str
+) -> DataFrame:
+    day = _dt.date.fromisoformat(str(dt)).isoformat()
+    closed_dt = F.when(F.col("is_current"), F.to_date(F.lit(OPEN_CLOSED_DT))).otherwise(F.to_date(F.lit(day)))
+    rows = _by_name(current_and_closed, spec).withColumn(SCD2_CLOSED_COL, closed_dt)
+    if previously_closed_today is not None:
+        rows = rows.unionByName(
+            _by_name(previously_closed_today, spec).withColumn(SCD2_CLOSED_COL, F.to_date(F.lit(day)))
+        )
+    return rows
+
+
+def write_dimension_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    table: str,
+    current_and_closed: DataFrame,
+    previously_closed_today: DataFrame | None,
+    dt: str,
+) -> None:
+    """As :func:`write_dimension`, through a registered (bucketed) catalog
+    table: ``insertInto`` keeps the table's bucketing, so the next merge
+    reads the current rows already hash-partitioned by key.  The rows come
+    out of the key join hash-partitioned the same way, so each task writes
+    one file per bucket."""
+    rows = _dimension_rows(spec, current_and_closed, previously_closed_today, dt)
+    cols = spark.table(table).columns  # the catalog orders partition columns last
+    # A catalog insert takes the overwrite mode from the session (the write
+    # option is not consulted), and only the dynamic mode may replace folders
+    # of the table being read.  Set it for this one insert, then restore.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.select(*cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, previous)
+    spark.catalog.refreshTable(table)
+
+
 def export_landing(df: DataFrame, root: str, entity: str, dt: str | None = None) -> None:
     """Landing snapshot as headed CSV part files under
     ``<root>/raw/<entity>/dt=<dt>/``.

@@ -178,3 +178,41 @@ def test_dimension_history_folders_are_never_rewritten(spark, tmp_root):
     assert after == before
     folders = sorted(os.path.basename(p) for p in glob.glob(os.path.join(dim_path, "is_current=false", "closed_dt=*")))
     assert folders == [f"closed_dt={DAYS[1]}", f"closed_dt={DAYS[2]}"]
+
+
+def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spark, tmp_root, capsys):
+    from strata.operators import scd2_plan
+    from strata.schemas import CUSTOMER_DIM_SPEC as C
+
+    landing = os.path.join(tmp_root, "landing")
+    plain, bucketed = os.path.join(tmp_root, "plain"), os.path.join(tmp_root, "bucketed")
+    _scenario(spark, landing)
+    for spec in (L.DIM_CUSTOMER, L.DIM_PRODUCT):
+        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")  # external: files stay
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for i, day in enumerate(DAYS):
+        run_ts = f"2026-02-{21 + i} 06:00:00"
+        run_day(spark, plain, day, run_ts, landing_root=landing, register=False)
+        run_day(spark, bucketed, day, run_ts, landing_root=landing, register=False, dim_buckets=buckets)
+    assert _snapshot(spark, plain) == _snapshot(spark, bucketed)
+    assert spark.table(L.DIM_CUSTOMER.qualified_name).where("customer_id = 'C1'").count() == 3
+
+    # the merge join reads current rows already partitioned by key: only the stage is shuffled
+    current = spark.table(L.DIM_CUSTOMER.qualified_name).where("is_current").select(*L.DIM_CUSTOMER.schema.names)
+    stg = read_day(spark, L.CUSTOMERS_STG, bucketed, DAYS[2])
+    plan = scd2_plan(current, stg, C["key"], C["tracked"], C["order"], "2026-02-24 06:00:00")
+    capsys.readouterr()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as at scale: no side is tiny
+    try:
+        plan.expired.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = capsys.readouterr().out
+    assert "Bucketed: true" in text
+    exchanges = [ln for ln in text.splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchanges and all("customer_id" in ln for ln in exchanges)
+    scan_line = next(ln for ln in text.splitlines() if "Bucketed: true" in ln)
+    # no exchange sits between the join and the bucketed scan of the current rows
+    assert len(scan_line) - len(scan_line.lstrip(" :+-")) > 0
+    for spec in (L.DIM_CUSTOMER, L.DIM_PRODUCT):
+        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
