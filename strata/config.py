@@ -52,10 +52,19 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster; only if the session
     has none (local tests) a private temporary folder is registered."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no JVM-side context (e.g. a Spark Connect session)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        local = tempfile.mkdtemp(prefix="strata-ckpt-")
+        if sc is None:
+            return local
+        sc.setCheckpointDir(local)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

@@ -39,10 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     can read).  A sorted round-robin repartition keeps task retries
     deterministic.  At scale, inputs have far more splits than slots and
     this returns ``df`` unchanged, adding no shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no JVM-side context (e.g. a Spark Connect session)
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
