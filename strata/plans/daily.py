@@ -47,16 +47,24 @@ def _exists(spark: SparkSession, spec: L.TableSpec, root: str) -> bool:
         return False
 
 
+def ingest_entity(
+    spark: SparkSession, root: str, landing_root: str, entity: str, dt: str, run_ts: RunTs, mode: str = "append"
+) -> None:
+    """One bronze job: the landed file of ``entity`` for ``dt`` -> bronze."""
+    _, standardize, spec = next(b for b in BRONZE if b[0] == entity)
+    raw = read_landing(spark, landing_dir(landing_root, entity, dt), RAW_COLUMNS[entity])
+    out = standardize(raw, dt, run_ts)
+    if mode == "replace_day":
+        replace_day(out, spec, root, dt)
+    else:
+        append_by_name(out, spec, root)
+
+
 def ingest_bronze(
     spark: SparkSession, root: str, landing_root: str, dt: str, run_ts: RunTs, mode: str = "append"
 ) -> None:
-    for entity, standardize, spec in BRONZE:
-        raw = read_landing(spark, landing_dir(landing_root, entity, dt), RAW_COLUMNS[entity])
-        out = standardize(raw, dt, run_ts)
-        if mode == "replace_day":
-            replace_day(out, spec, root, dt)
-        else:
-            append_by_name(out, spec, root)
+    for entity, _, _ in BRONZE:
+        ingest_entity(spark, root, landing_root, entity, dt, run_ts, mode)
 
 
 def scd2_merge(
@@ -137,6 +145,12 @@ def load_gold(spark: SparkSession, root: str, dt: str, run_ts: RunTs) -> None:
     replace_day(build_daily_product_sales(fact, dim, run_ts), L.DAILY_PRODUCT_SALES, root, dt)
 
 
+DIMENSIONS = {
+    "customers": (L.DIM_CUSTOMER, L.CUSTOMERS_STG, CUSTOMER_DIM_SPEC),
+    "products": (L.DIM_PRODUCT, L.PRODUCTS_STG, PRODUCT_DIM_SPEC),
+}
+
+
 def run_day(
     spark: SparkSession,
     root: str,
