@@ -216,3 +216,22 @@ def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spar
     assert len(scan_line) - len(scan_line.lstrip(" :+-")) > 0
     for spec in (L.DIM_CUSTOMER, L.DIM_PRODUCT):
         spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
+
+
+def test_catalog_guard_refuses_another_warehouse_or_bucketing(spark, tmp_root):
+    import pytest
+
+    from strata.plans.catalog import ensure_table
+
+    spec = L.DIM_PRODUCT
+    spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
+    try:
+        a, b = os.path.join(tmp_root, "a"), os.path.join(tmp_root, "b")
+        assert ensure_table(spark, spec, a, 4) == spec.qualified_name
+        assert ensure_table(spark, spec, a, 4) == spec.qualified_name  # idempotent
+        with pytest.raises(ValueError, match="registered at"):
+            ensure_table(spark, spec, b, 4)
+        with pytest.raises(ValueError, match="buckets"):
+            ensure_table(spark, spec, a, 8)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
