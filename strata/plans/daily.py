@@ -24,7 +24,7 @@ from strata.operators import (
     transform_fact_orders,
 )
 from strata.operators._common import RunTs
-from strata.plans.catalog import ensure_catalog, ensure_table
+from strata.plans.catalog import ensure_catalog, ensure_table, refresh_partitions
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks import layout as L
 from strata.sinks.writers import append_by_name, replace_day, write_dimension, write_dimension_table
@@ -176,6 +176,9 @@ def run_day(
     merge_dimension(spark, root, dt, L.DIM_PRODUCT, L.PRODUCTS_STG, PRODUCT_DIM_SPEC, run_ts, dim_buckets)
     load_fact(spark, root, dt)
     load_gold(spark, root, dt, run_ts)
+    if register:  # SQL over the catalog sees the new folders right away
+        for spec in L.TABLES:
+            refresh_partitions(spark, spec)
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
