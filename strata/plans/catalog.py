@@ -53,11 +53,20 @@ def ensure_table(spark: SparkSession, spec: TableSpec, root: str, buckets: int |
 
 def ensure_catalog(spark: SparkSession, root: str, dim_buckets: int | None = None) -> None:
     """``CREATE DATABASE/TABLE IF NOT EXISTS`` for all layers and tables;
-    ``dim_buckets`` registers the SCD2 dimensions bucketed by their key."""
+    ``dim_buckets`` registers the SCD2 dimensions bucketed by their key.
+    A table already registered at another warehouse (or with other
+    bucketing) raises instead of being used silently."""
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for spec in TABLES:
-        spark.sql(table_ddl(spec, root, dim_buckets if spec.bucket_col else None))
+        ensure_table(spark, spec, root, dim_buckets)
+
+
+def drop_registrations(spark: SparkSession) -> None:
+    """Forget the catalog entries of all tables (they are external: the
+    files stay), e.g. before registering another warehouse in this session."""
+    for spec in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
 
 
 def refresh_partitions(spark: SparkSession, spec: TableSpec) -> None:

@@ -22,3 +22,12 @@ def spark():
 @pytest.fixture()
 def tmp_root():
     return tempfile.mkdtemp(prefix="strata-test-")
+
+
+@pytest.fixture()
+def clean_catalog(spark):
+    from strata.plans.catalog import drop_registrations
+
+    drop_registrations(spark)
+    yield
+    drop_registrations(spark)

@@ -9,7 +9,7 @@ from strata.sources import read_table
 from strata.sources.landing import RAW_COLUMNS
 
 
-def test_step_jobs_equal_run_day(spark, tmp_root):
+def test_step_jobs_equal_run_day(spark, tmp_root, clean_catalog):
     landing = os.path.join(tmp_root, "landing")
     day = "2026-02-20"
     rows = {

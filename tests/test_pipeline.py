@@ -46,7 +46,7 @@ def _snapshot(spark, root):
     }
 
 
-def test_three_day_run_invariants_and_idempotent_rerun(spark, tmp_root):
+def test_three_day_run_invariants_and_idempotent_rerun(spark, tmp_root, clean_catalog):
     landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "wh")
     _scenario(spark, landing)
     for i, day in enumerate(DAYS):
@@ -115,7 +115,7 @@ def test_landing_csv_quirks_bind_by_name(spark, tmp_root):
     assert rows["O4"]["order_ts"] == "2026-02-20 09:00:00"
 
 
-def test_ensure_catalog_is_idempotent(spark, tmp_root):
+def test_ensure_catalog_is_idempotent(spark, tmp_root, clean_catalog):
     ensure_catalog(spark, tmp_root)
     ensure_catalog(spark, tmp_root)
     assert {r["tableName"] for r in list_tables(spark, "silver").collect()} >= {"dim_customer_scd2", "dim_product_scd2", "fact_orders"}
@@ -182,15 +182,13 @@ def test_dimension_history_folders_are_never_rewritten(spark, tmp_root):
     assert folders == [f"closed_dt={DAYS[1]}", f"closed_dt={DAYS[2]}"]
 
 
-def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spark, tmp_root, capsys):
+def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spark, tmp_root, capsys, clean_catalog):
     from strata.operators import scd2_plan
     from strata.schemas import CUSTOMER_DIM_SPEC as C
 
     landing = os.path.join(tmp_root, "landing")
     plain, bucketed = os.path.join(tmp_root, "plain"), os.path.join(tmp_root, "bucketed")
     _scenario(spark, landing)
-    for spec in (L.DIM_CUSTOMER, L.DIM_PRODUCT):
-        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")  # external: files stay
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for i, day in enumerate(DAYS):
         run_ts = f"2026-02-{21 + i} 06:00:00"
@@ -216,24 +214,20 @@ def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spar
     scan_line = next(ln for ln in text.splitlines() if "Bucketed: true" in ln)
     # no exchange sits between the join and the bucketed scan of the current rows
     assert len(scan_line) - len(scan_line.lstrip(" :+-")) > 0
-    for spec in (L.DIM_CUSTOMER, L.DIM_PRODUCT):
-        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
 
 
-def test_catalog_guard_refuses_another_warehouse_or_bucketing(spark, tmp_root):
+def test_catalog_guard_refuses_another_warehouse_or_bucketing(spark, tmp_root, clean_catalog):
     import pytest
 
     from strata.plans.catalog import ensure_table
 
     spec = L.DIM_PRODUCT
-    spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
-    try:
-        a, b = os.path.join(tmp_root, "a"), os.path.join(tmp_root, "b")
-        assert ensure_table(spark, spec, a, 4) == spec.qualified_name
-        assert ensure_table(spark, spec, a, 4) == spec.qualified_name  # idempotent
-        with pytest.raises(ValueError, match="registered at"):
-            ensure_table(spark, spec, b, 4)
-        with pytest.raises(ValueError, match="buckets"):
-            ensure_table(spark, spec, a, 8)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
+    a, b = os.path.join(tmp_root, "a"), os.path.join(tmp_root, "b")
+    assert ensure_table(spark, spec, a, 4) == spec.qualified_name
+    assert ensure_table(spark, spec, a, 4) == spec.qualified_name  # idempotent
+    with pytest.raises(ValueError, match="registered at"):
+        ensure_table(spark, spec, b, 4)
+    with pytest.raises(ValueError, match="buckets"):
+        ensure_table(spark, spec, a, 8)
+    with pytest.raises(ValueError, match="registered at"):
+        ensure_catalog(spark, b)  # the whole catalog is guarded too
