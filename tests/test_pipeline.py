@@ -231,3 +231,33 @@ def test_catalog_guard_refuses_another_warehouse_or_bucketing(spark, tmp_root, c
         ensure_table(spark, spec, a, 8)
     with pytest.raises(ValueError, match="registered at"):
         ensure_catalog(spark, b)  # the whole catalog is guarded too
+
+
+def test_backfill_append_rebalances_by_day(spark, tmp_root):
+    import glob
+
+    from strata.sinks.writers import append_by_name
+
+    df = spark.range(0, 30000, 1, 8).select(
+        F.col("id").cast("string").alias("order_id"), F.lit(None).cast("timestamp").alias("order_ts"),
+        F.lit("C1").alias("customer_id"), F.lit("P1").alias("product_id"), F.lit(1).alias("quantity"),
+        F.lit(1.0).alias("unit_price"),
+        F.date_add(F.to_date(F.lit("2026-01-01")), (F.col("id") % 5).cast("int")).alias("dt"),
+        F.lit(None).cast("timestamp").alias("ingest_ts"),
+    )
+    append_by_name(df, L.ORDERS_STG, tmp_root, rebalance=True)
+    assert read_table(spark, L.ORDERS_STG, tmp_root).count() == 30000
+    per_day = [len(glob.glob(os.path.join(p, "*.parquet")))
+               for p in glob.glob(os.path.join(L.ORDERS_STG.path(tmp_root), "dt=*"))]
+    assert len(per_day) == 5 and max(per_day) < 8  # not one file per (task, day)
+
+
+def test_spread_only_when_splits_are_scarce(spark, tmp_root):
+    from strata.sources.tables import read_parquet, spread
+
+    path = os.path.join(tmp_root, "one.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    slots = spark.sparkContext.defaultParallelism
+    assert read_parquet(spark, path).rdd.getNumPartitions() == slots
+    many = spark.range(0, 1000, 1, slots * 2)
+    assert spread(many) is many
