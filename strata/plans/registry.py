@@ -32,7 +32,7 @@ from strata.operators import (
 )
 from strata.plans import adapters as A
 from strata.plans.daily import read_gold, run_day
-from strata.schemas import CUSTOMER_DIM_SPEC, DIM_CUSTOMER, DIM_PRODUCT, PRODUCT_DIM_SPEC
+from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks.writers import export_landing
 from strata.sources.landing import read_landing_days
 
@@ -50,13 +50,14 @@ def wall_clock(df: DataFrame) -> DataFrame:
 
 
 def _dim_spec(entity: str):
+    """(dimension spec, raw snapshot adapter, standardizer) of an entity."""
     if entity == "customers":
-        return CUSTOMER_DIM_SPEC, DIM_CUSTOMER, A.raw_customers, standardize_customers
-    return PRODUCT_DIM_SPEC, DIM_PRODUCT, A.raw_products, standardize_products
+        return CUSTOMER_DIM_SPEC, A.raw_customers, standardize_customers
+    return PRODUCT_DIM_SPEC, A.raw_products, standardize_products
 
 
 def staged(spark: SparkSession, sf_dir: str, entity: str, day: str) -> DataFrame:
-    _, _, raw, std = _dim_spec(entity)
+    _, raw, std = _dim_spec(entity)
     run = A.RUN1 if day == A.DAY1 else A.RUN2
     return std(raw(spark, sf_dir, day), day, run)
 
