@@ -30,7 +30,7 @@ from strata.sources.tables import read_parquet
 
 # Fixed values of the two-day scenario.
 DAY1, DAY2 = "2026-02-20", "2026-02-21"
-RUN1, RUN2 = "2026-02-21 06:00:00", "2026-02-22 06:00:00"
+RUN1, RUN2, RUN3 = "2026-02-21 06:00:00", "2026-02-22 06:00:00", "2026-02-23 06:00:00"
 PIPELINE_SPLIT = "1998-07-01"  # orders shipped in earlier months land on DAY1
 
 

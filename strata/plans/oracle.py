@@ -294,7 +294,7 @@ FROM events
 """
 
 
-def _pipeline_sql() -> str:
+def _pipeline_sql(days: tuple[str, ...] = ("gold1", "gold2")) -> str:
     """Two daily runs: orders shipped before the split month land on DAY1,
     the rest on DAY2; each day's fact is de-duplicated within the day and
     joined to the product dimension as it stood after that day's merge."""
@@ -313,7 +313,7 @@ def _pipeline_sql() -> str:
         ("gold1", _sales_body("fact1", "dim1", RUN1)),
         ("gold2", _sales_body("fact2", "dim2", RUN2)),
     ]
-    return with_ctes(ctes, "SELECT * FROM gold1 UNION ALL SELECT * FROM gold2")
+    return with_ctes(ctes, " UNION ALL ".join(f"SELECT * FROM {g}" for g in days))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -360,6 +360,8 @@ WHERE rn = 1
         "previous_business_date": _tz_body(),
         "landing_roundtrip": with_ctes([("raw_orders_all", RAW_ORDERS)], f"SELECT {raw_cols} FROM raw_orders_all"),
         "pipeline_two_days": _pipeline_sql(),
+        # day 1 rerun with no orders landed: its gold folder is emptied, day 2 stays
+        "pipeline_replay_empty_day": _pipeline_sql(("gold2",)),
     }
 
 

@@ -172,9 +172,9 @@ def q_landing_roundtrip(spark, sf_dir):
     return read_landing_days(spark, root, "orders")
 
 
-def q_pipeline_two_days(spark, sf_dir):
-    """Land two days of snapshots and orders, run the daily job for each,
-    and return the gold table."""
+def _two_day_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+    """Land two days of snapshots and orders, run the daily job for each;
+    returns (landing root, warehouse root, raw orders)."""
     landing = scratch_path(spark, "pipeline-landing")
     warehouse = scratch_path(spark, "pipeline-warehouse")
     orders = A.raw_orders(spark, sf_dir)
@@ -185,6 +185,22 @@ def q_pipeline_two_days(spark, sf_dir):
         export_landing(orders.where(cond).drop("dt"), landing, "orders", day)
     run_day(spark, warehouse, A.DAY1, A.RUN1, landing_root=landing, register=False)
     run_day(spark, warehouse, A.DAY2, A.RUN2, landing_root=landing, register=False)
+    return landing, warehouse, orders
+
+
+def q_pipeline_two_days(spark, sf_dir):
+    """Two daily runs from landed CSV to gold; the gold table."""
+    _, warehouse, _ = _two_day_run(spark, sf_dir)
+    return wall_clock(read_gold(spark, warehouse))
+
+
+def q_pipeline_replay_empty_day(spark, sf_dir):
+    """After two daily runs, the source withdraws day 1's orders (a landed
+    file with only the header) and day 1 is rerun idempotently: day 1's fact
+    and gold folders are replaced by empty ones, day 2 is untouched."""
+    landing, warehouse, orders = _two_day_run(spark, sf_dir)
+    export_landing(orders.where(F.lit(False)).drop("dt"), landing, "orders", A.DAY1)
+    run_day(spark, warehouse, A.DAY1, A.RUN3, landing_root=landing, bronze_mode="replace_day", register=False)
     return wall_clock(read_gold(spark, warehouse))
 
 
@@ -205,4 +221,5 @@ QUERIES: dict[str, Query] = {
     "previous_business_date": q_previous_business_date,
     "landing_roundtrip": q_landing_roundtrip,
     "pipeline_two_days": q_pipeline_two_days,
+    "pipeline_replay_empty_day": q_pipeline_replay_empty_day,
 }
