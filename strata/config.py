@@ -50,8 +50,10 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; only if the session
-    has none (local tests) a private temporary folder is registered."""
+    """The shared checkpoint folder named by the cluster.  Only a local-mode
+    session without one (tests) gets a private temporary folder; on a cluster
+    a machine-local folder would be invisible to executors and lost with the
+    driver, so a missing setting is an error there."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -60,13 +62,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # no JVM-side context (e.g. a Spark Connect session)
         sc = None
     root = sc.getCheckpointDir() if sc is not None else None
-    if not root:
-        local = tempfile.mkdtemp(prefix="strata-ckpt-")
-        if sc is None:
-            return local
-        sc.setCheckpointDir(local)
-        root = sc.getCheckpointDir()
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if sc is None or not str(sc.master).startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -128,8 +128,8 @@ def test_checkpoint_root_prefers_cluster_setting_and_falls_back_once():
             return self.value if key == "spark.checkpoint.dir" else default
 
     class Context:
-        def __init__(self):
-            self.dir = None
+        def __init__(self, master="local[2]"):
+            self.dir, self.master = None, master
 
         def getCheckpointDir(self):
             return self.dir
@@ -138,8 +138,8 @@ def test_checkpoint_root_prefers_cluster_setting_and_falls_back_once():
             self.dir = "file:" + d + "/uuid"
 
     class Session:
-        def __init__(self, value):
-            self.conf, self.sparkContext = Conf(value), Context()
+        def __init__(self, value, master="local[2]"):
+            self.conf, self.sparkContext = Conf(value), Context(master)
 
     shared = Session("hdfs://nn/shared/ckpt/")
     assert checkpoint_root(shared) == "hdfs://nn/shared/ckpt"
@@ -148,3 +148,5 @@ def test_checkpoint_root_prefers_cluster_setting_and_falls_back_once():
     local = Session(None)
     first = checkpoint_root(local)
     assert first.startswith("file:/") and checkpoint_root(local) == first
+    with pytest.raises(ValueError, match="shared storage"):
+        checkpoint_root(Session(None, master="yarn"))  # never a driver-local folder on a cluster
