@@ -10,7 +10,9 @@ landing snapshots (all text, as the upstream CSV files are).
   market segment; customers with a negative balance first appear on day 2,
   those with a balance of 9000 or more are missing from day 2, and those with
   a balance in [0, 1000) relocate on day 2 to their nation (a second, later
-  record the same day, so "latest per key" has work to do).
+  record the same day, so "latest per key" has work to do).  Day 3 repeats
+  day 1's snapshot: relocations change back, missing keys return, keys new on
+  day 2 are absent.
 * products (two daily snapshots) = part.  ``category`` is the part type;
   sizes 46-49 appear on day 2, sizes 1-2 only on day 1, size 50 never (so
   some sales have no dimension row); Brand#1 moves to category CLEARANCE on
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from strata.sources.tables import read_parquet
 
 # Fixed values of the two-day scenario.
-DAY1, DAY2 = "2026-02-20", "2026-02-21"
+DAY1, DAY2, DAY3 = "2026-02-20", "2026-02-21", "2026-02-22"
 RUN1, RUN2, RUN3 = "2026-02-21 06:00:00", "2026-02-22 06:00:00", "2026-02-23 06:00:00"
 PIPELINE_SPLIT = "1998-07-01"  # orders shipped in earlier months land on DAY1
 
@@ -123,10 +125,11 @@ def _customer_rows(df: DataFrame, city: Column, updated_at: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """Day 1 and day 3 carry the same snapshot (day 3 reverts day 2)."""
     base = _customer_base(spark, sf_dir)
     bal = F.col("c_acctbal")
-    if day == DAY1:
-        return _customer_rows(base.where(bal >= 0), F.col("c_mktsegment"), f"{DAY1} 08:00:00")
+    if day in (DAY1, DAY3):
+        return _customer_rows(base.where(bal >= 0), F.col("c_mktsegment"), f"{day} 08:00:00")
     snapshot = _customer_rows(base.where(bal < 9000), F.col("c_mktsegment"), f"{DAY2} 08:00:00")
     moved = _customer_rows(base.where((bal >= 0) & (bal < 1000)), F.col("n_name"), f"{DAY2} 17:30:00")
     return snapshot.unionByName(moved)

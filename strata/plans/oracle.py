@@ -8,7 +8,7 @@ gold mart is the literal join-then-group-by.  Tables are the driver's views.
 
 from __future__ import annotations
 
-from strata.plans.adapters import DAY1, DAY2, PIPELINE_SPLIT, RUN1, RUN2
+from strata.plans.adapters import DAY1, DAY2, DAY3, PIPELINE_SPLIT, RUN1, RUN2, RUN3
 
 INT_TEXT = r"^\s*([+-]?)([0-9]*)(?:[.]([0-9]*))?\s*$"
 
@@ -86,6 +86,8 @@ RAW_CUSTOMERS_2 = (
     + _customer_rows("n_name", f"{DAY2} 17:30:00", "c_acctbal >= 0 AND c_acctbal < 1000")
 )
 
+RAW_CUSTOMERS_3 = _customer_rows("c_mktsegment", f"{DAY3} 08:00:00", "c_acctbal >= 0")
+
 RAW_CUSTOMERS_DIRTY = f"""
 SELECT CASE WHEN c_acctbal < 0 AND c_mktsegment = 'AUTOMOBILE' THEN ''
             WHEN c_acctbal < 0 AND c_mktsegment = 'FURNITURE' THEN NULL
@@ -196,7 +198,9 @@ def first_load(src: str, key: str, tracked: list[str], run_ts: str) -> str:
     )
 
 
-def merge_parts(prev: str, src: str, key: str, tracked: list[str], run_ts: str) -> dict[str, str]:
+def merge_parts(
+    prev: str, src: str, key: str, tracked: list[str], run_ts: str, merged_name: str = "merged"
+) -> dict[str, str]:
     """Literal reference semantics: MERGE expires current rows whose hash
     differs (``<>`` on a null hash is not true), then INSERT ... SELECT from
     ``src LEFT JOIN target_after_merge ON key AND is_current``."""
@@ -215,7 +219,7 @@ FROM {prev} t LEFT JOIN {src} s ON t.{key} = s.{key} AND t.is_current
     inserted = f"""
 SELECT {src_cols}, TIMESTAMP '{run_ts}' AS effective_from_ts, CAST(NULL AS TIMESTAMP) AS effective_to_ts,
        true AS is_current, s.ingest_ts
-FROM {src} s LEFT JOIN (SELECT * FROM merged WHERE is_current) t ON t.{key} = s.{key}
+FROM {src} s LEFT JOIN (SELECT * FROM {merged_name} WHERE is_current) t ON t.{key} = s.{key}
 WHERE t.{key} IS NULL OR t.hash_diff <> s.hash_diff
 """
     return {"merged": after_merge, "inserted": inserted, "cols": cols}
@@ -252,6 +256,23 @@ def _dim_two_days(entity: str) -> tuple[list[tuple[str, str]], str]:
     return ctes, m["cols"]
 
 
+def _customers_three_days() -> list[tuple[str, str]]:
+    """CTEs ending in ``dim3``: the customer dimension after DAY1, DAY2 and
+    DAY3, where DAY3's snapshot is DAY1's again (changes back, keys return,
+    keys new on DAY2 are absent)."""
+    ctes, cols = _dim_two_days("customers")
+    key, tracked = "customer_id", CUSTOMER_TRACKED
+    m = merge_parts("dim2", "src3", key, tracked, RUN3, merged_name="merged3")
+    return ctes + [
+        ("raw3", RAW_CUSTOMERS_3),
+        ("stg3", std_customers("raw3", DAY3, RUN3)),
+        ("src3", src_latest("stg3", key, tracked)),
+        ("merged3", m["merged"]),
+        ("inserted3", m["inserted"]),
+        ("dim3", f"SELECT {cols} FROM merged3 UNION ALL SELECT {cols} FROM inserted3"),
+    ]
+
+
 def _orders_ctes() -> list[tuple[str, str]]:
     return [
         ("raw_orders_all", RAW_ORDERS),
@@ -343,6 +364,7 @@ WHERE rn = 1
         "fact_orders": with_ctes(_orders_ctes(), f"SELECT {fact_cols} FROM fact_orders"),
         "scd2_customers": with_ctes(cust_ctes, "SELECT * FROM dim2"),
         "scd2_products": with_ctes(prod_ctes, "SELECT * FROM dim2"),
+        "scd2_customers_three_days": with_ctes(_customers_three_days(), "SELECT * FROM dim3"),
         "scd2_expired": with_ctes(cust_ctes, f"SELECT {cust_cols} FROM merged WHERE expired_now"),
         "scd2_inserted": with_ctes(cust_ctes, "SELECT * FROM inserted"),
         "sales_enriched": with_ctes(

@@ -58,7 +58,7 @@ def _dim_spec(entity: str):
 
 def staged(spark: SparkSession, sf_dir: str, entity: str, day: str) -> DataFrame:
     _, raw, std = _dim_spec(entity)
-    run = A.RUN1 if day == A.DAY1 else A.RUN2
+    run = {A.DAY1: A.RUN1, A.DAY2: A.RUN2, A.DAY3: A.RUN3}[day]
     return std(raw(spark, sf_dir, day), day, run)
 
 
@@ -125,6 +125,13 @@ def q_scd2_products(spark, sf_dir):
     return wall_clock(dimension_two_days(spark, sf_dir, "products"))
 
 
+def q_scd2_customers_three_days(spark, sf_dir):
+    spec = CUSTOMER_DIM_SPEC
+    dim2 = dimension_two_days(spark, sf_dir, "customers")
+    stg3 = staged(spark, sf_dir, "customers", A.DAY3)
+    return wall_clock(scd2_apply(dim2, stg3, spec["key"], spec["tracked"], spec["order"], A.RUN3))
+
+
 def q_scd2_expired(spark, sf_dir):
     return wall_clock(day2_merge(spark, sf_dir, "customers").expired)
 
@@ -213,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "fact_orders": q_fact_orders,
     "scd2_customers": q_scd2_customers,
     "scd2_products": q_scd2_products,
+    "scd2_customers_three_days": q_scd2_customers_three_days,
     "scd2_expired": q_scd2_expired,
     "scd2_inserted": q_scd2_inserted,
     "sales_enriched": q_sales_enriched,
