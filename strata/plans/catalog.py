@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sinks.layout import TABLES, TableSpec
+from strata.sinks.layout import TABLES, TableSpec, in_namespace
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -51,22 +51,27 @@ def ensure_table(spark: SparkSession, spec: TableSpec, root: str, buckets: int |
     return spec.qualified_name
 
 
-def ensure_catalog(spark: SparkSession, root: str, dim_buckets: int | None = None) -> None:
+def ensure_catalog(
+    spark: SparkSession, root: str, dim_buckets: int | None = None, ns: str | None = None
+) -> None:
     """``CREATE DATABASE/TABLE IF NOT EXISTS`` for all layers and tables;
-    ``dim_buckets`` registers the SCD2 dimensions bucketed by their key.
-    A table already registered at another warehouse (or with other
-    bucketing) raises instead of being used silently."""
-    for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    ``dim_buckets`` registers the SCD2 dimensions bucketed by their key, ``ns``
+    puts everything under a private namespace.  A table already registered
+    at another warehouse (or with other bucketing) raises instead of being
+    used silently."""
     for spec in TABLES:
-        ensure_table(spark, spec, root, dim_buckets)
+        ensure_table(spark, in_namespace(spec, ns), root, dim_buckets)
 
 
-def drop_registrations(spark: SparkSession) -> None:
+def drop_registrations(spark: SparkSession, ns: str | None = None) -> None:
     """Forget the catalog entries of all tables (they are external: the
-    files stay), e.g. before registering another warehouse in this session."""
+    files stay), e.g. before registering another warehouse in this session;
+    a private namespace also loses its databases."""
     for spec in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {spec.qualified_name}")
+        spark.sql(f"DROP TABLE IF EXISTS {in_namespace(spec, ns).qualified_name}")
+    if ns:
+        for layer in LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS {ns}_{layer}")
 
 
 def refresh_partitions(spark: SparkSession, spec: TableSpec) -> None:

@@ -48,10 +48,18 @@ def _exists(spark: SparkSession, spec: L.TableSpec, root: str) -> bool:
 
 
 def ingest_entity(
-    spark: SparkSession, root: str, landing_root: str, entity: str, dt: str, run_ts: RunTs, mode: str = "append"
+    spark: SparkSession,
+    root: str,
+    landing_root: str,
+    entity: str,
+    dt: str,
+    run_ts: RunTs,
+    mode: str = "append",
+    ns: str | None = None,
 ) -> None:
     """One bronze job: the landed file of ``entity`` for ``dt`` -> bronze."""
     _, standardize, spec = next(b for b in BRONZE if b[0] == entity)
+    spec = L.in_namespace(spec, ns)
     raw = read_landing(spark, landing_dir(landing_root, entity, dt), RAW_COLUMNS[entity])
     out = standardize(raw, dt, run_ts)
     if mode == "replace_day":
@@ -61,10 +69,16 @@ def ingest_entity(
 
 
 def ingest_bronze(
-    spark: SparkSession, root: str, landing_root: str, dt: str, run_ts: RunTs, mode: str = "append"
+    spark: SparkSession,
+    root: str,
+    landing_root: str,
+    dt: str,
+    run_ts: RunTs,
+    mode: str = "append",
+    ns: str | None = None,
 ) -> None:
     for entity, _, _ in BRONZE:
-        ingest_entity(spark, root, landing_root, entity, dt, run_ts, mode)
+        ingest_entity(spark, root, landing_root, entity, dt, run_ts, mode, ns)
 
 
 def scd2_merge(
@@ -134,15 +148,16 @@ def merge_dimension(
     scd2_merge(spark, stg, spec, dim["key"], dim["tracked"], dim["order"], root, dt, run_ts, buckets)
 
 
-def load_fact(spark: SparkSession, root: str, dt: str) -> None:
-    fact = transform_fact_orders(read_day(spark, L.ORDERS_STG, root, dt))
-    replace_day(fact, L.FACT_ORDERS, root, dt)
+def load_fact(spark: SparkSession, root: str, dt: str, ns: str | None = None) -> None:
+    fact = transform_fact_orders(read_day(spark, L.in_namespace(L.ORDERS_STG, ns), root, dt))
+    replace_day(fact, L.in_namespace(L.FACT_ORDERS, ns), root, dt)
 
 
-def load_gold(spark: SparkSession, root: str, dt: str, run_ts: RunTs) -> None:
-    fact = read_day(spark, L.FACT_ORDERS, root, dt)
-    dim = read_current(spark, L.DIM_PRODUCT, root)  # by path: bucketing is not needed here
-    replace_day(build_daily_product_sales(fact, dim, run_ts), L.DAILY_PRODUCT_SALES, root, dt)
+def load_gold(spark: SparkSession, root: str, dt: str, run_ts: RunTs, ns: str | None = None) -> None:
+    fact = read_day(spark, L.in_namespace(L.FACT_ORDERS, ns), root, dt)
+    dim = read_current(spark, L.in_namespace(L.DIM_PRODUCT, ns), root)  # by path: bucketing not needed here
+    gold = build_daily_product_sales(fact, dim, run_ts)
+    replace_day(gold, L.in_namespace(L.DAILY_PRODUCT_SALES, ns), root, dt)
 
 
 DIMENSIONS = {
@@ -160,26 +175,30 @@ def run_day(
     bronze_mode: str = "append",
     register: bool = True,
     dim_buckets: int | None = None,
+    ns: str | None = None,
 ) -> None:
     """Run all data steps for business day ``dt`` against warehouse ``root``.
 
     ``run_ts`` is the run's processing instant (one value for the whole run,
     so an expired version's end meets its successor's start exactly).
     ``dim_buckets`` keeps both dimensions bucketed by key (see
-    :func:`scd2_merge`).
+    :func:`scd2_merge`); ``ns`` puts every table under a private namespace
+    (databases ``<ns>_bronze`` ..., folders ``<root>/<ns>_bronze/...``).
     """
     dt = _dt.date.fromisoformat(str(dt)).isoformat()
     if register:
-        ensure_catalog(spark, root, dim_buckets)
-    ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode)
-    merge_dimension(spark, root, dt, L.DIM_CUSTOMER, L.CUSTOMERS_STG, CUSTOMER_DIM_SPEC, run_ts, dim_buckets)
-    merge_dimension(spark, root, dt, L.DIM_PRODUCT, L.PRODUCTS_STG, PRODUCT_DIM_SPEC, run_ts, dim_buckets)
-    load_fact(spark, root, dt)
-    load_gold(spark, root, dt, run_ts)
+        ensure_catalog(spark, root, dim_buckets, ns)
+    ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode, ns)
+    for dim_spec, stg_spec, dim in DIMENSIONS.values():
+        merge_dimension(
+            spark, root, dt, L.in_namespace(dim_spec, ns), L.in_namespace(stg_spec, ns), dim, run_ts, dim_buckets
+        )
+    load_fact(spark, root, dt, ns)
+    load_gold(spark, root, dt, run_ts, ns)
     if register:  # SQL over the catalog sees the new folders right away
         for spec in L.TABLES:
-            refresh_partitions(spark, spec)
+            refresh_partitions(spark, L.in_namespace(spec, ns))
 
 
-def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, L.DAILY_PRODUCT_SALES, root)
+def read_gold(spark: SparkSession, root: str, ns: str | None = None) -> DataFrame:
+    return read_table(spark, L.in_namespace(L.DAILY_PRODUCT_SALES, ns), root)

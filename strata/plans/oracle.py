@@ -384,6 +384,8 @@ WHERE rn = 1
         "pipeline_two_days": _pipeline_sql(),
         # day 1 rerun with no orders landed: its gold folder is emptied, day 2 stays
         "pipeline_replay_empty_day": _pipeline_sql(("gold2",)),
+        # bucketed dimensions change the physical layout only
+        "pipeline_two_days_bucketed": _pipeline_sql(),
     }
 
 

@@ -8,6 +8,7 @@ do not depend on the session zone; the processing instants are the fixed
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from strata.operators import (
     transform_fact_orders,
 )
 from strata.plans import adapters as A
+from strata.plans.catalog import drop_registrations
 from strata.plans.daily import read_gold, run_day
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks.writers import export_landing
@@ -179,7 +181,9 @@ def q_landing_roundtrip(spark, sf_dir):
     return read_landing_days(spark, root, "orders")
 
 
-def _two_day_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+def _two_day_run(
+    spark: SparkSession, sf_dir: str, ns: str | None = None, dim_buckets: int | None = None
+) -> tuple[str, str, DataFrame]:
     """Land two days of snapshots and orders, run the daily job for each;
     returns (landing root, warehouse root, raw orders)."""
     landing = scratch_path(spark, "pipeline-landing")
@@ -190,8 +194,8 @@ def _two_day_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]
         export_landing(A.raw_customers(spark, sf_dir, day), landing, "customers", day)
         export_landing(A.raw_products(spark, sf_dir, day), landing, "products", day)
         export_landing(orders.where(cond).drop("dt"), landing, "orders", day)
-    run_day(spark, warehouse, A.DAY1, A.RUN1, landing_root=landing, register=False)
-    run_day(spark, warehouse, A.DAY2, A.RUN2, landing_root=landing, register=False)
+    for day, run in ((A.DAY1, A.RUN1), (A.DAY2, A.RUN2)):
+        run_day(spark, warehouse, day, run, landing_root=landing, register=False, dim_buckets=dim_buckets, ns=ns)
     return landing, warehouse, orders
 
 
@@ -201,6 +205,20 @@ def q_pipeline_two_days(spark, sf_dir):
     return wall_clock(read_gold(spark, warehouse))
 
 
+def q_pipeline_two_days_bucketed(spark, sf_dir):
+    """The two daily runs with both dimensions kept as catalog tables bucketed
+    by key (one bucket per shuffle partition), under a private namespace whose
+    catalog entries are dropped again (the files stay); same gold as the path
+    layout."""
+    ns = f"chk{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        _, warehouse, _ = _two_day_run(spark, sf_dir, ns=ns, dim_buckets=buckets)
+    finally:
+        drop_registrations(spark, ns)
+    return wall_clock(read_gold(spark, warehouse, ns))
+
+
 def q_pipeline_replay_empty_day(spark, sf_dir):
     """After two daily runs, the source withdraws day 1's orders (a landed
     file with only the header) and day 1 is rerun idempotently: day 1's fact
@@ -230,4 +248,5 @@ QUERIES: dict[str, Query] = {
     "landing_roundtrip": q_landing_roundtrip,
     "pipeline_two_days": q_pipeline_two_days,
     "pipeline_replay_empty_day": q_pipeline_replay_empty_day,
+    "pipeline_two_days_bucketed": q_pipeline_two_days_bucketed,
 }

@@ -11,7 +11,7 @@ rewritten, and the current-row scan lists a single folder.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -77,3 +77,9 @@ def table_spec(qualified_name: str) -> TableSpec:
         if spec.qualified_name == qualified_name or spec.name == qualified_name:
             return spec
     raise KeyError(f"unknown table {qualified_name!r}; known: {[t.qualified_name for t in TABLES]}")
+
+
+def in_namespace(spec: TableSpec, ns: str | None) -> TableSpec:
+    """The same table under a private namespace: database ``<ns>_<layer>``
+    and folder ``<root>/<ns>_<layer>/<table>`` (``ns=None``: unchanged)."""
+    return replace(spec, layer=f"{ns}_{spec.layer}") if ns else spec
