@@ -150,3 +150,17 @@ def test_checkpoint_root_prefers_cluster_setting_and_falls_back_once():
     assert first.startswith("file:/") and checkpoint_root(local) == first
     with pytest.raises(ValueError, match="shared storage"):
         checkpoint_root(Session(None, master="yarn"))  # never a driver-local folder on a cluster
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789 .+-xe\t", max_size=10), min_size=1, max_size=40))
+def test_parse_int_equals_spark_legacy_cast(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    ours = [r[0] for r in df.select(parse_int("s")).collect()]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = [r[0] for r in df.select(F.col("s").cast("int")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
