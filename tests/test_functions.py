@@ -164,3 +164,30 @@ def test_parse_int_equals_spark_legacy_cast(spark, texts):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    st.lists(st.text(alphabet="0123456789 .+-eEaNIfnity", max_size=10), min_size=1, max_size=30),
+    st.lists(st.one_of(
+        st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 1, 1)).map(lambda d: d.strftime("%Y-%m-%d %H:%M:%S")),
+        st.text(alphabet="0123456789-: /", max_size=20),
+    ), min_size=1, max_size=30),
+)
+def test_parse_double_and_timestamp_equal_spark_legacy(spark, numbers, stamps):
+    n = max(len(numbers), len(stamps))
+    rows = [(numbers[i % len(numbers)], stamps[i % len(stamps)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "p string, t string")
+    ours = df.select(parse_double("p").alias("p"), parse_timestamp("t").alias("t")).collect()
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = df.select(F.col("p").cast("double").alias("p"),
+                           F.to_timestamp("t", "yyyy-MM-dd HH:mm:ss").alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+    def same(a, b):
+        return a == b or (isinstance(a, float) and isinstance(b, float) and a != a and b != b)
+
+    assert all(same(a["p"], b["p"]) and a["t"] == b["t"] for a, b in zip(ours, legacy)), (rows, ours, legacy)
