@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, TimestampType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, TimestampType, VariantType
 
 RunTs = Column | str | _dt.datetime | None
 Day = Column | str | _dt.date | None
@@ -48,10 +48,15 @@ def valid_key(name: str) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
+def _orderable(dtype: DataType) -> bool:
+    if isinstance(dtype, StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (MapType, VariantType))
+
+
 def orderable_columns(df: DataFrame, exclude: set[str]) -> list[str]:
-    """Columns usable as a sort tie-break (maps and variants have no order)."""
-    return [
-        f.name
-        for f in df.schema.fields
-        if f.name not in exclude and not isinstance(f.dataType, (MapType, VariantType))
-    ]
+    """Columns usable as a sort tie-break (maps and variants have no order,
+    wherever they are nested)."""
+    return [f.name for f in df.schema.fields if f.name not in exclude and _orderable(f.dataType)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,11 @@ def order_amount(quantity: str = "quantity", unit_price: str = "unit_price"):
     return F.round(F.col(quantity) * F.col(unit_price), 2).try_cast(AMOUNT)
 
 
-def transform_fact_orders(orders_bronze: DataFrame) -> DataFrame:
-    """One row per order and business day, plus ``order_amount``.
+def transform_fact_orders(orders_bronze: DataFrame, keys: str | Sequence[str] = "order_id") -> DataFrame:
+    """One row per order, plus ``order_amount``.
 
-    The de-duplication key is ``order_id`` within ``dt`` (the per-day job of
-    the reference), so a multi-day input is processed as every day at once in
-    one shuffle on ``(dt, order_id)``.
+    ``keys`` is the de-duplication key.  The default suits one business day's
+    rows; pass ``("dt", "order_id")`` to build every day of a multi-day input
+    at once, an order id counting once within each day.
     """
-    keys = ["dt", "order_id"] if "dt" in orders_bronze.columns else ["order_id"]
     return dedupe_by_key(orders_bronze, keys).withColumn("order_amount", order_amount())

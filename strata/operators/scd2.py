@@ -15,8 +15,13 @@ After expiry every surviving current row has an equal or null hash, so the
 insert set is ``source LEFT ANTI survivors ON key``.  A null source key never
 matches anything and is always inserted.
 
-Shuffles: the source is hashed on the key once (window), the current rows
-once (join); the anti join reuses both partitionings.
+One pass: the current rows and the staged rows are tagged, unioned and
+gathered by key once; two windows over the key tell each row the staged hash
+and whether a current row survives, one filter drops the staged rows that add
+nothing.  Two shuffles (latest staged row per key, then the union), one scan
+of each input, no join.  A null key matches nothing: a null source key is
+always inserted, and rows without a key stay out of the key's group, each in
+one of its own, so they never gather in one task.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -33,6 +38,7 @@ from strata.operators._common import RunTs, run_ts_col
 from strata.operators.dedupe import latest_per_key
 
 HASH_COL = "hash_diff"
+ACTION = "_action"
 
 
 def add_hash_diff(df: DataFrame, tracked_cols: Sequence[str], hash_col: str = HASH_COL) -> DataFrame:
@@ -40,12 +46,27 @@ def add_hash_diff(df: DataFrame, tracked_cols: Sequence[str], hash_col: str = HA
 
 
 class Scd2Result(NamedTuple):
-    unchanged: DataFrame
-    expired: DataFrame
-    inserted: DataFrame
+    """One merge: its rows carry ``ACTION`` (unchanged, expired or inserted)."""
+
+    merged: DataFrame
+
+    def _part(self, action: str) -> DataFrame:
+        return self.merged.where(F.col(ACTION) == action).drop(ACTION)
+
+    @property
+    def unchanged(self) -> DataFrame:
+        return self._part("unchanged")
+
+    @property
+    def expired(self) -> DataFrame:
+        return self._part("expired")
+
+    @property
+    def inserted(self) -> DataFrame:
+        return self._part("inserted")
 
     def current_and_closed(self) -> DataFrame:
-        return self.unchanged.unionByName(self.expired).unionByName(self.inserted)
+        return self.merged.drop(ACTION)
 
 
 def dim_columns(key_col: str, tracked_cols: Sequence[str]) -> list[str]:
@@ -70,42 +91,15 @@ def scd2_plan(
     order_cols: Sequence[str],
     run_ts: RunTs = None,
 ) -> Scd2Result:
-    """Classify the target's current rows against one staged snapshot.
+    """Merge one staged snapshot into the target's rows.
 
-    ``current=None`` is a target without rows (first load): every staged
-    key is inserted and no join is planned at all.
+    ``current=None`` is a target without rows (first load): every staged key is
+    inserted.  Rows of ``current`` that are not current pass through unchanged.
     """
     cols = dim_columns(key_col, tracked_cols)
     now = run_ts_col(run_ts)
     src = stage_source(stg, key_col, tracked_cols, order_cols)
-    if current is None:
-        inserted = _new_versions(src, key_col, tracked_cols, now)
-        nothing = inserted.where(F.lit(False))
-        return Scd2Result(nothing, nothing, inserted)
-
-    flagged = current.select(*cols).join(
-        src.select(key_col, F.col(HASH_COL).alias("_src_hash")), key_col, "left"
-    ).withColumn(
-        "_expire",
-        F.coalesce(F.col("_src_hash").isNotNull() & (F.col(HASH_COL) != F.col("_src_hash")), F.lit(False)),
-    )
-    unchanged = flagged.where(~F.col("_expire")).select(*cols)
-    expired = flagged.where(F.col("_expire")).select(
-        *[
-            F.lit(False).alias(c) if c == "is_current"
-            else now.alias(c) if c == "effective_to_ts"
-            else F.col(c)
-            for c in cols
-        ]
-    )
-    inserted = _new_versions(
-        src.join(unchanged.select(key_col), key_col, "left_anti"), key_col, tracked_cols, now
-    )
-    return Scd2Result(unchanged, expired, inserted)
-
-
-def _new_versions(src: DataFrame, key_col: str, tracked_cols: Sequence[str], now) -> DataFrame:
-    return src.select(
+    new = src.select(
         key_col,
         *tracked_cols,
         HASH_COL,
@@ -114,6 +108,29 @@ def _new_versions(src: DataFrame, key_col: str, tracked_cols: Sequence[str], now
         F.lit(True).alias("is_current"),
         "ingest_ts",
     )
+    if current is None:
+        return Scd2Result(new.withColumn(ACTION, F.lit("inserted")))
+
+    rows = current.select(*cols, F.lit(False).alias("_staged")).unionByName(new.withColumn("_staged", F.lit(True)))
+    alone = F.when(F.col(key_col).isNull(), F.monotonically_increasing_id())
+    key = Window.partitionBy(key_col, "_alone")
+    live = ~F.col("_staged") & F.coalesce("is_current", F.lit(False))
+    differs = F.coalesce(F.col(HASH_COL) != F.col("_staged_hash"), F.lit(False))
+    flagged = (
+        rows.withColumn("_alone", alone)
+        .withColumn("_staged_hash", F.max(F.when(F.col("_staged"), F.col(HASH_COL))).over(key))
+        .withColumn("_expire", live & differs)
+        .withColumn("_survives", F.max(live & ~differs).over(key))
+        .where(~F.col("_staged") | ~F.col("_survives"))
+    )
+    action = F.when(F.col("_staged"), "inserted").when(F.col("_expire"), "expired").otherwise("unchanged")
+    closed = {"is_current": F.lit(False), "effective_to_ts": now}
+    return Scd2Result(
+        flagged.select(
+            *[F.when(F.col("_expire"), closed[c]).otherwise(F.col(c)).alias(c) if c in closed else F.col(c) for c in cols],
+            action.alias(ACTION),
+        )
+    )
 
 
 def split_dimension(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,12 +148,8 @@ def scd2_apply(
     order_cols: Sequence[str],
     run_ts: RunTs = None,
 ) -> DataFrame:
-    """The whole dimension after merging one staged snapshot
-    (``dim=None``: first load into an empty dimension)."""
-    cols = dim_columns(key_col, tracked_cols)
-    if dim is None:
-        return scd2_plan(None, stg, key_col, tracked_cols, order_cols, run_ts).inserted
-    current, history = split_dimension(dim)
-    plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
-    return history.select(*cols).unionByName(plan.current_and_closed())
-
+    """The whole dimension, history included, after merging one staged snapshot
+    (``dim=None``: first load into an empty dimension).  Applied day after day
+    the plan grows by one union a day; stored dimensions are merged without
+    their history (see :func:`strata.plans.daily.scd2_merge`)."""
+    return scd2_plan(dim, stg, key_col, tracked_cols, order_cols, run_ts).current_and_closed()
