@@ -14,9 +14,10 @@ landing snapshots (all text, as the upstream CSV files are).
   day 1's snapshot: relocations change back, missing keys return, keys new on
   day 2 are absent.
 * products (two daily snapshots) = part.  ``category`` is the part type;
-  sizes 46-49 appear on day 2, sizes 1-2 only on day 1, size 50 never (so
-  some sales have no dimension row); Brand#1 moves to category CLEARANCE on
-  day 2.
+  sizes 46-50 appear on day 2, sizes 1-2 only on day 1; Brand#1 moves to
+  category CLEARANCE on day 2, and day 3 repeats day 1.  For the sales
+  queries and the daily runs size 50 never lands, so that some sales have no
+  dimension row.
 * dirty variants wrap text in spaces, upper-case emails, blank or null some
   keys, and break some numbers and timestamps, chosen by data attributes.
 
@@ -28,8 +29,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.tables import read_parquet
-
 # Fixed values of the two-day scenario.
 DAY1, DAY2, DAY3 = "2026-02-20", "2026-02-21", "2026-02-22"
 RUN1, RUN2, RUN3 = "2026-02-21 06:00:00", "2026-02-22 06:00:00", "2026-02-23 06:00:00"
@@ -40,12 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """A large table, pruned and spread over all cores if its file has too
-    few splits to keep them busy (see :func:`strata.sources.tables.spread`)."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns)
-
-
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -55,10 +48,10 @@ def _pad(c: Column, left: str = "  ", right: str = " ") -> Column:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    li = fact_table(spark, sf_dir, "lineitem", [
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate",
         "l_returnflag", "l_linestatus", "l_tax", "l_discount",
-    ])
+    )
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "left").join(pt, li.l_partkey == pt.p_partkey, "left")
@@ -166,13 +159,31 @@ def _product_rows(df: DataFrame, category: Column, updated_at: str) -> DataFrame
     )
 
 
-def raw_products(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+def raw_products(spark: SparkSession, sf_dir: str, day: str, withheld: bool = False) -> DataFrame:
+    """Day 1 and day 3 carry the same snapshot.  ``withheld`` keeps the largest
+    size out on every day: a product master that lags its sales."""
     p = table(spark, sf_dir, "part")
     size = F.col("p_size")
-    if day == DAY1:
-        return _product_rows(p.where(size <= 45), F.col("p_type"), f"{DAY1} 08:00:00")
+    if day in (DAY1, DAY3):
+        return _product_rows(p.where(size <= 45), F.col("p_type"), f"{day} 08:00:00")
     category = F.when(F.col("p_brand") == "Brand#1", F.lit("CLEARANCE")).otherwise(F.col("p_type"))
-    return _product_rows(p.where((size >= 3) & (size <= 49)), category, f"{DAY2} 08:00:00")
+    landed = (size >= 3) & (size <= 49) if withheld else size >= 3
+    return _product_rows(p.where(landed), category, f"{DAY2} 08:00:00")
+
+
+def staged_suppliers(spark: SparkSession, sf_dir: str, day: str, run_ts: str) -> DataFrame:
+    """A staged supplier snapshot: suppliers with a negative balance first
+    appear on day 2, those with a balance of 9000 or more are missing from it,
+    those with a balance in [0, 1000) move to the next nation on it."""
+    s = table(spark, sf_dir, "supplier")
+    bal, nation = F.col("s_acctbal"), F.col("s_nationkey").cast("int")
+    s = s.where(bal >= 0) if day == DAY1 else s.where(bal < 9000)
+    moved = F.when((bal >= 0) & (bal < 1000), nation + 1).otherwise(nation) if day == DAY2 else nation
+    return s.select(
+        _s("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"), moved.alias("nation"),
+        F.to_timestamp(F.lit(f"{day} 08:00:00")).alias("updated_at"), F.to_date(F.lit(day)).alias("dt"),
+        F.to_timestamp(F.lit(run_ts)).alias("ingest_ts"),
+    )
 
 
 def raw_products_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

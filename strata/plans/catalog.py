@@ -7,10 +7,13 @@ stay the source of truth and a new session re-registers them idempotently.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from strata.sinks.layout import TABLES, TableSpec, in_namespace
+from strata.sinks.layout import DIM_CUSTOMER, OPEN_CLOSED_DT, SCD2_CLOSED_COL, TABLES, TableSpec, dimension_spec, in_namespace
+from strata.sources.tables import folder_exists
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -19,12 +22,18 @@ def table_ddl(spec: TableSpec, root: str, buckets: int | None = None) -> str:
     cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.storage_schema.fields)
     parts = ", ".join(f"`{c}`" for c in spec.partition_by)
     clustered = f"\nCLUSTERED BY (`{spec.bucket_col}`) INTO {buckets} BUCKETS" if buckets else ""
+    options = "\nOPTIONS (partitionOverwriteMode 'dynamic')" if spec.is_scd2 else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {spec.qualified_name} (\n  {cols}\n)\n"
-        f"USING parquet\nPARTITIONED BY ({parts}){clustered}\nLOCATION '{spec.path(root)}'"
+        f"USING parquet{options}\nPARTITIONED BY ({parts}){clustered}\nLOCATION {_text(spec.path(root))}"
     )
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _norm(path: str) -> str:
     path = re.sub(r"^file:/+", "/", path)
     return path.rstrip("/")
@@ -74,12 +83,39 @@ def drop_registrations(spark: SparkSession, ns: str | None = None) -> None:
             spark.sql(f"DROP DATABASE IF EXISTS {ns}_{layer}")
 
 
-def refresh_partitions(spark: SparkSession, spec: TableSpec) -> None:
-    """Make folders written by path visible to SQL over the catalog table."""
-    spark.sql(f"MSCK REPAIR TABLE {spec.qualified_name}")
+def add_partitions(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> None:
+    """Show SQL over the catalog table what the run of ``dt`` wrote: only the
+    folders of that run are added, nothing is listed."""
+    if spec.is_scd2:
+        folders = [("true", OPEN_CLOSED_DT), ("false", dt)]
+        wanted = [f"(is_current={c}, {SCD2_CLOSED_COL}=DATE'{d}')" for c, d in folders
+                  if folder_exists(spark, f"{spec.path(root)}/is_current={c}/{SCD2_CLOSED_COL}={d}")]
+    else:
+        wanted = [f"(dt=DATE'{dt}')"]
+    for partition in wanted:
+        spark.sql(f"ALTER TABLE {spec.qualified_name} ADD IF NOT EXISTS PARTITION {partition}")
     spark.catalog.refreshTable(spec.qualified_name)
 
 
+def create_dimension(spark: SparkSession, name: str, schema: StructType, key_col: str, root: str) -> TableSpec:
+    """Create and register an SCD2 dimension under any ``layer.name``;
+    ``schema`` holds the key and the tracked columns."""
+    tail = [f for f in DIM_CUSTOMER.schema.fields if f.name not in ("customer_id", "full_name", "email", "city")]
+    spec = dimension_spec(name, StructType([*schema.fields, *tail]), key_col)
+    ensure_table(spark, spec, root)
+    return spec
+
+
+def registered_dimension(spark: SparkSession, name: str, key_col: str, tracked_cols: Sequence[str]) -> TableSpec:
+    """The layout of a registered dimension, from its schema and location."""
+    table, info = spark.table(name), table_details(spark, name)
+    logical = [f for f in table.schema.fields if f.name != SCD2_CLOSED_COL]
+    wanted = {key_col, *tracked_cols, *(f.name for f in DIM_CUSTOMER.schema.fields[4:])}
+    if wanted - {f.name for f in logical} or SCD2_CLOSED_COL not in table.columns:
+        raise ValueError(f"{name} is not an SCD2 dimension of {sorted(wanted)} partitioned by is_current, {SCD2_CLOSED_COL}")
+    return dimension_spec(name, StructType(logical), key_col, info["Location"])
+
+
 def list_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +22,14 @@ from strata.operators import (
     standardize_products,
     transform_fact_orders,
 )
-from strata.operators._common import RunTs
-from strata.plans.catalog import ensure_catalog, ensure_table, refresh_partitions
+from strata.operators._common import RunTs, run_ts_col
+from strata.plans.catalog import add_partitions, ensure_catalog, ensure_table, registered_dimension
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks import layout as L
 from strata.sinks.writers import append_by_name, replace_day, write_dimension, write_dimension_table
 from strata.sources.landing import RAW_COLUMNS, read_landing
 from strata.sources.paths import landing_dir
-from strata.sources.tables import read_current, read_day, read_table
+from strata.sources.tables import folder_exists, read_closed, read_current, read_day, read_table
 
 BRONZE: tuple[tuple[str, Callable, L.TableSpec], ...] = (
     ("customers", standardize_customers, L.CUSTOMERS_STG),
@@ -39,14 +38,6 @@ BRONZE: tuple[tuple[str, Callable, L.TableSpec], ...] = (
 )
 
 
-def _exists(spark: SparkSession, spec: L.TableSpec, root: str) -> bool:
-    try:
-        spark.read.schema(spec.storage_schema).parquet(spec.path(root)).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
-
-
 def ingest_entity(
     spark: SparkSession,
     root: str,
@@ -81,6 +72,28 @@ def ingest_bronze(
         ingest_entity(spark, root, landing_root, entity, dt, run_ts, mode, ns)
 
 
+def _target_rows(spark: SparkSession, spec: L.TableSpec, root: str, day: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """The current rows and the versions that an earlier run of ``day`` closed;
+    None twice where the dimension has no rows yet.  History without a current
+    folder is what a commit that broke off leaves: merging into it would lose
+    every key that the staged rows don't have."""
+    path = spec.path(root)
+    if not folder_exists(spark, f"{path}/is_current=true"):
+        if folder_exists(spark, f"{path}/is_current=false"):
+            raise RuntimeError(f"{path} has history but no current rows: an earlier merge broke off; restore is_current=true first")
+        return None, None
+    return read_current(spark, spec, root), read_closed(spark, spec, root, day)
+
+
+def _staged_day(stg: DataFrame, run_ts: RunTs) -> str:
+    """The staged rows' single date, else the run's."""
+    if "dt" in stg.columns:
+        low, high = stg.agg(F.min("dt"), F.max("dt")).first()
+        if low is not None and low == high:
+            return str(low)
+    return str(stg.sparkSession.range(1).select(run_ts_col(run_ts).cast("date")).first()[0])
+
+
 def scd2_merge(
     spark: SparkSession,
     stg: DataFrame,
@@ -88,50 +101,45 @@ def scd2_merge(
     key_col: str,
     tracked_cols: Sequence[str],
     order_cols: Sequence[str],
-    root: str,
-    dt: str,
+    root: str | None = None,
+    dt: str | None = None,
     run_ts: RunTs = None,
     buckets: int | None = None,
 ) -> None:
     """Merge one staged snapshot into a stored SCD2 dimension.
 
-    ``target_table`` is a :class:`TableSpec` or a qualified name such as
-    ``"silver.dim_customer_scd2"``; ``dt`` is the business day of the run
-    (it names the folder that receives the versions this run closes).
-    Only the current folder and that day's closed folder are read and
-    rewritten; older history is not touched.
+    ``target_table`` is the name of any dimension registered in the catalog
+    (see :func:`strata.plans.catalog.create_dimension`), or with ``root`` a
+    :class:`TableSpec` or the name of one of the warehouse's own dimensions.
+    ``dt`` is the business day of the run (it names the folder that receives
+    the versions this run closes); the default is the staged rows' single
+    date, else the date of the run.  Only the current folder and that day's
+    closed folder are read and rewritten; older history is not touched.
 
     ``buckets=N`` keeps the dimension as a catalog table bucketed by its key
-    into N buckets (use the session's shuffle partition count): the current
-    rows are then read already hash-partitioned by key and the merge join
-    shuffles only the staged snapshot.  A warehouse is either bucketed or
-    not from its first run on.
+    into N buckets.  A warehouse is either bucketed or not from its first run
+    on.
     """
-    spec = L.table_spec(target_table) if isinstance(target_table, str) else target_table
-    day = _dt.date.fromisoformat(str(dt)).isoformat()
+    registered = root is None
+    if registered:
+        if not isinstance(target_table, str):
+            raise ValueError("a TableSpec needs the root of its warehouse")
+        spec, root = registered_dimension(spark, target_table, key_col, tracked_cols), ""
+    else:
+        spec = L.table_spec(target_table) if isinstance(target_table, str) else target_table
+    day = _dt.date.fromisoformat(str(dt)).isoformat() if dt else _staged_day(stg, run_ts)
+    current, closed_today = _target_rows(spark, spec, root, day)
     if buckets:
         name = ensure_table(spark, spec, root, buckets)
-        table = spark.table(name)
-        current = table.where(F.col("is_current")).select(*spec.schema.names)
-        closed_today = table.where(
-            (F.col(L.SCD2_CLOSED_COL) == F.to_date(F.lit(day))) & ~F.coalesce(F.col("is_current"), F.lit(False))
-        ).select(*spec.schema.names)
-        plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
-        write_dimension_table(spark, spec, name, plan.current_and_closed(), closed_today, day)
+        if current is not None:
+            current = spark.table(name).where(F.col("is_current")).select(*spec.schema.names)
+    rows = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts).current_and_closed()
+    if buckets:
+        write_dimension_table(spark, spec, name, rows, closed_today, day)
         return
-    if _exists(spark, spec, root):
-        current = read_current(spark, spec, root)
-        closed_today = (
-            spark.read.schema(spec.storage_schema)
-            .parquet(spec.path(root))
-            .where(F.col(L.SCD2_CLOSED_COL) == F.to_date(F.lit(day)))
-            .where(~F.coalesce(F.col("is_current"), F.lit(False)))
-            .select(*spec.schema.names)
-        )
-    else:
-        current = closed_today = None
-    plan = scd2_plan(current, stg, key_col, tracked_cols, order_cols, run_ts)
-    write_dimension(spark, spec, root, plan.current_and_closed(), closed_today, day)
+    write_dimension(spark, spec, root, rows, closed_today, day)
+    if registered:
+        add_partitions(spark, spec, root, day)
 
 
 def merge_dimension(
@@ -186,6 +194,7 @@ def run_day(
     (databases ``<ns>_bronze`` ..., folders ``<root>/<ns>_bronze/...``).
     """
     dt = _dt.date.fromisoformat(str(dt)).isoformat()
+    run_ts = _dt.datetime.now(_dt.timezone.utc) if run_ts is None else run_ts
     if register:
         ensure_catalog(spark, root, dim_buckets, ns)
     ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode, ns)
@@ -197,7 +206,7 @@ def run_day(
     load_gold(spark, root, dt, run_ts, ns)
     if register:  # SQL over the catalog sees the new folders right away
         for spec in L.TABLES:
-            refresh_partitions(spark, L.in_namespace(spec, ns))
+            add_partitions(spark, L.in_namespace(spec, ns), root, dt)
 
 
 def read_gold(spark: SparkSession, root: str, ns: str | None = None) -> DataFrame:

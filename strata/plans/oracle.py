@@ -1,13 +1,14 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Written independently of the Spark code, from the reference's stated
-semantics: the SCD2 insert is the literal ``LEFT JOIN ... WHERE tgt.key IS
-NULL OR tgt.hash_diff <> src.hash_diff`` over the target after expiry, the
-gold mart is the literal join-then-group-by.  Tables are the driver's views.
+Written independently of the Spark code: the SCD2 merge follows the table of
+cases by key (no current row, the same hash, an unknown hash, other hashes),
+the gold mart is the literal join-then-group-by.  Tables are the driver's views.
 """
 
 from __future__ import annotations
 
+import re
+
 from strata.plans.adapters import DAY1, DAY2, DAY3, PIPELINE_SPLIT, RUN1, RUN2, RUN3
 
 INT_TEXT = r"^\s*([+-]?)([0-9]*)(?:[.]([0-9]*))?\s*$"
@@ -111,11 +112,15 @@ def _product_rows(category: str, ts: str, where: str) -> str:
 
 
 RAW_PRODUCTS_1 = _product_rows("p_type", f"{DAY1} 08:00:00", "p_size <= 45")
-RAW_PRODUCTS_2 = _product_rows(
-    "CASE WHEN p_brand = 'Brand#1' THEN 'CLEARANCE' ELSE p_type END",
-    f"{DAY2} 08:00:00",
-    "p_size >= 3 AND p_size <= 49",
-)
+RAW_PRODUCTS_3 = _product_rows("p_type", f"{DAY3} 08:00:00", "p_size <= 45")
+
+
+def _raw_products_2(landed: str) -> str:
+    return _product_rows("CASE WHEN p_brand = 'Brand#1' THEN 'CLEARANCE' ELSE p_type END", f"{DAY2} 08:00:00", landed)
+
+
+RAW_PRODUCTS_2 = _raw_products_2("p_size >= 3")
+RAW_PRODUCTS_2_WITHHELD = _raw_products_2("p_size >= 3 AND p_size <= 49")
 
 RAW_PRODUCTS_DIRTY = f"""
 SELECT CASE WHEN p_size = 50 AND p_type = 'SMALL' THEN '' ELSE {_pad('CAST(p_partkey AS VARCHAR)')} END AS product_id,
@@ -198,31 +203,27 @@ def first_load(src: str, key: str, tracked: list[str], run_ts: str) -> str:
     )
 
 
-def merge_parts(
-    prev: str, src: str, key: str, tracked: list[str], run_ts: str, merged_name: str = "merged"
-) -> dict[str, str]:
-    """Literal reference semantics: MERGE expires current rows whose hash
-    differs (``<>`` on a null hash is not true), then INSERT ... SELECT from
-    ``src LEFT JOIN target_after_merge ON key AND is_current``."""
+def merge_parts(prev: str, src: str, key: str, tracked: list[str], run_ts: str) -> dict[str, str]:
+    """One merge as a table of cases.  For each source key, over the current
+    rows of the target: does one have the same hash, or an unknown (null) one?
+    Then nothing is inserted; else the new version is.  A current row whose
+    known hash differs is closed."""
     cols = dim_columns(key, tracked)
-    src_cols = ", ".join(f"s.{c}" for c in [key, *tracked, "hash_diff"])
-    after_merge = f"""
-SELECT t.{key}, {', '.join('t.' + c for c in tracked)}, t.hash_diff, t.effective_from_ts,
-       CASE WHEN t.is_current AND s.hash_diff IS NOT NULL AND t.hash_diff <> s.hash_diff
-            THEN TIMESTAMP '{run_ts}' ELSE t.effective_to_ts END AS effective_to_ts,
-       CASE WHEN t.is_current AND s.hash_diff IS NOT NULL AND t.hash_diff <> s.hash_diff
-            THEN false ELSE t.is_current END AS is_current,
-       t.ingest_ts,
-       (t.is_current AND s.hash_diff IS NOT NULL AND t.hash_diff <> s.hash_diff) IS TRUE AS expired_now
-FROM {prev} t LEFT JOIN {src} s ON t.{key} = s.{key} AND t.is_current
+    cases = f"""
+SELECT s.{key} AS k, s.hash_diff AS new_hash,
+       coalesce(bool_or(t.hash_diff = s.hash_diff), false) OR coalesce(bool_or(t.{key} IS NOT NULL AND t.hash_diff IS NULL), false) AS stays
+FROM {src} s LEFT JOIN (SELECT * FROM {prev} WHERE is_current) t ON t.{key} = s.{key}
+GROUP BY s.{key}, s.hash_diff
 """
-    inserted = f"""
-SELECT {src_cols}, TIMESTAMP '{run_ts}' AS effective_from_ts, CAST(NULL AS TIMESTAMP) AS effective_to_ts,
-       true AS is_current, s.ingest_ts
-FROM {src} s LEFT JOIN (SELECT * FROM {merged_name} WHERE is_current) t ON t.{key} = s.{key}
-WHERE t.{key} IS NULL OR t.hash_diff <> s.hash_diff
+    closing = "(t.is_current AND c.new_hash IS NOT NULL AND t.hash_diff <> c.new_hash) IS TRUE"
+    merged = f"""
+SELECT t.* EXCLUDE (effective_to_ts, is_current),
+       CASE WHEN {closing} THEN TIMESTAMP '{run_ts}' ELSE t.effective_to_ts END AS effective_to_ts,
+       CASE WHEN {closing} THEN false ELSE t.is_current END AS is_current, {closing} AS expired_now
+FROM {prev} t LEFT JOIN ({cases}) c ON t.{key} = c.k
 """
-    return {"merged": after_merge, "inserted": inserted, "cols": cols}
+    inserted = first_load(f"{src} s WHERE EXISTS (SELECT 1 FROM ({cases}) c WHERE c.k IS NOT DISTINCT FROM s.{key} AND NOT c.stays)", key, tracked, run_ts)
+    return {"merged": merged, "inserted": inserted, "cols": cols}
 
 
 def with_ctes(ctes: list[tuple[str, str]], body: str) -> str:
@@ -233,44 +234,44 @@ CUSTOMER_TRACKED = ["full_name", "email", "city"]
 PRODUCT_TRACKED = ["product_name", "category", "list_price"]
 
 
-def _dim_two_days(entity: str) -> tuple[list[tuple[str, str]], str]:
-    """CTEs ending in ``dim2`` (whole dimension after DAY1 then DAY2), plus
-    ``merged``/``inserted`` of the DAY2 merge."""
+def _dim_days(entity: str, days: int = 2, withheld: bool = False) -> tuple[list[tuple[str, str]], str]:
+    """CTEs ending in ``dim<days>`` (whole dimension after each day), with
+    ``merged<n>``/``inserted<n>`` of each later merge."""
     if entity == "customers":
         key, tracked, std = "customer_id", CUSTOMER_TRACKED, std_customers
-        base = [("customer_base", CUSTOMER_BASE), ("raw1", RAW_CUSTOMERS_1), ("raw2", RAW_CUSTOMERS_2)]
+        base, raw = [("customer_base", CUSTOMER_BASE)], [RAW_CUSTOMERS_1, RAW_CUSTOMERS_2, RAW_CUSTOMERS_3]
     else:
         key, tracked, std = "product_id", PRODUCT_TRACKED, std_products
-        base = [("raw1", RAW_PRODUCTS_1), ("raw2", RAW_PRODUCTS_2)]
-    m = merge_parts("dim1", "src2", key, tracked, RUN2)
-    ctes = base + [
-        ("stg1", std("raw1", DAY1, RUN1)),
-        ("stg2", std("raw2", DAY2, RUN2)),
-        ("src1", src_latest("stg1", key, tracked)),
-        ("src2", src_latest("stg2", key, tracked)),
-        ("dim1", first_load("src1", key, tracked, RUN1)),
-        ("merged", m["merged"]),
-        ("inserted", m["inserted"]),
-        ("dim2", f"SELECT {m['cols']} FROM merged UNION ALL SELECT {m['cols']} FROM inserted"),
-    ]
-    return ctes, m["cols"]
-
-
-def _customers_three_days() -> list[tuple[str, str]]:
-    """CTEs ending in ``dim3``: the customer dimension after DAY1, DAY2 and
-    DAY3, where DAY3's snapshot is DAY1's again (changes back, keys return,
-    keys new on DAY2 are absent)."""
-    ctes, cols = _dim_two_days("customers")
-    key, tracked = "customer_id", CUSTOMER_TRACKED
-    m = merge_parts("dim2", "src3", key, tracked, RUN3, merged_name="merged3")
-    return ctes + [
-        ("raw3", RAW_CUSTOMERS_3),
-        ("stg3", std_customers("raw3", DAY3, RUN3)),
-        ("src3", src_latest("stg3", key, tracked)),
-        ("merged3", m["merged"]),
-        ("inserted3", m["inserted"]),
-        ("dim3", f"SELECT {cols} FROM merged3 UNION ALL SELECT {cols} FROM inserted3"),
-    ]
+        base, raw = [], [RAW_PRODUCTS_1, RAW_PRODUCTS_2_WITHHELD if withheld else RAW_PRODUCTS_2, RAW_PRODUCTS_3]
+    ctes, cols = list(base), dim_columns(key, tracked)
+    for n, (day, run) in enumerate(((DAY1, RUN1), (DAY2, RUN2), (DAY3, RUN3))[:days], 1):
+        ctes += [(f"raw{n}", raw[n - 1]), (f"stg{n}", std(f"raw{n}", day, run)), (f"src{n}", src_latest(f"stg{n}", key, tracked))]
+        if n == 1:
+            ctes.append(("dim1", first_load("src1", key, tracked, run)))
+            continue
+        m = merge_parts(f"dim{n - 1}", f"src{n}", key, tracked, run)
+        ctes += [(f"merged{n}", m["merged"]), (f"inserted{n}", m["inserted"]),
+                 (f"dim{n}", f"SELECT {cols} FROM merged{n} UNION ALL SELECT {cols} FROM inserted{n}")]
+    return ctes, cols
+
+
+SUPPLIER_TRACKED = ["name", "nation"]
+
+
+def _suppliers() -> str:
+    rows = lambda nation, day, run, where: (
+        f"SELECT CAST(s_suppkey AS VARCHAR) AS supplier_id, s_name AS name, CAST({nation} AS INTEGER) AS nation, "
+        f"TIMESTAMP '{day} 08:00:00' AS updated_at, DATE '{day}' AS dt, TIMESTAMP '{run}' AS ingest_ts FROM supplier WHERE {where}"
+    )
+    m = merge_parts("dim1", "src2", "supplier_id", SUPPLIER_TRACKED, RUN2)
+    return with_ctes([
+        ("stg1", rows("s_nationkey", DAY1, RUN1, "s_acctbal >= 0")),
+        ("stg2", rows("s_nationkey + CASE WHEN s_acctbal >= 0 AND s_acctbal < 1000 THEN 1 ELSE 0 END", DAY2, RUN2, "s_acctbal < 9000")),
+        ("src1", src_latest("stg1", "supplier_id", SUPPLIER_TRACKED)),
+        ("src2", src_latest("stg2", "supplier_id", SUPPLIER_TRACKED)),
+        ("dim1", first_load("src1", "supplier_id", SUPPLIER_TRACKED, RUN1)),
+        ("merged2", m["merged"]), ("inserted2", m["inserted"]),
+    ], f"SELECT {m['cols']} FROM merged2 UNION ALL SELECT {m['cols']} FROM inserted2")
 
 
 def _orders_ctes() -> list[tuple[str, str]]:
@@ -294,7 +295,7 @@ GROUP BY f.dt, f.product_id, d.category
 
 
 def _sales_ctes() -> list[tuple[str, str]]:
-    dim_ctes, _ = _dim_two_days("products")
+    dim_ctes, _ = _dim_days("products", withheld=True)
     return _orders_ctes() + dim_ctes + [("daily_sales", _sales_body("fact_orders", "dim2", RUN2))]
 
 
@@ -315,31 +316,58 @@ FROM events
 """
 
 
-def _pipeline_sql(days: tuple[str, ...] = ("gold1", "gold2")) -> str:
+def _pipeline_ctes() -> list[tuple[str, str]]:
     """Two daily runs: orders shipped before the split month land on DAY1,
     the rest on DAY2; each day's fact is de-duplicated within the day and
     joined to the product dimension as it stood after that day's merge."""
-    dim_ctes, cols = _dim_two_days("products")
-    day_orders = lambda day, cond: (
+    dim_ctes, _ = _dim_days("products", withheld=True)
+    day_orders = lambda cond: (
         f"SELECT order_id, order_ts, customer_id, product_id, quantity, unit_price FROM raw_orders_all WHERE {cond}"
     )
-    ctes = dim_ctes + [
+    return dim_ctes + [
         ("raw_orders_all", RAW_ORDERS),
-        ("raw_o1", day_orders(DAY1, f"dt < DATE '{PIPELINE_SPLIT}'")),
-        ("raw_o2", day_orders(DAY2, f"dt >= DATE '{PIPELINE_SPLIT}'")),
+        ("raw_o1", day_orders(f"dt < DATE '{PIPELINE_SPLIT}'")),
+        ("raw_o2", day_orders(f"dt >= DATE '{PIPELINE_SPLIT}'")),
         ("stg_o1", std_orders("raw_o1", DAY1, RUN1)),
         ("stg_o2", std_orders("raw_o2", DAY2, RUN2)),
-        ("fact1", fact("stg_o1")),
-        ("fact2", fact("stg_o2")),
+        ("fact1", fact("stg_o1", "order_id")),
+        ("fact2", fact("stg_o2", "order_id")),
         ("gold1", _sales_body("fact1", "dim1", RUN1)),
         ("gold2", _sales_body("fact2", "dim2", RUN2)),
     ]
-    return with_ctes(ctes, " UNION ALL ".join(f"SELECT * FROM {g}" for g in days))
+
+
+def _pipeline_sql(tables: tuple[str, ...] = ("gold1", "gold2"), cols: str = "*") -> str:
+    return with_ctes(_pipeline_ctes(), " UNION ALL ".join(f"SELECT {cols} FROM {t}" for t in tables))
+
+
+def _catalog_sql() -> str:
+    """Rows and keys of each stored table by day or state after two runs."""
+    customers, _ = _dim_days("customers")
+    names = {n: f"c_{n}" if n != "customer_base" else n for n, _ in customers}
+    renamed = []
+    for n, q in customers:
+        for old, new in names.items():
+            q = re.sub(rf"\b{old}\b", new, q)
+        renamed.append((names[n], q))
+    by_day = lambda table, key, *sources: [
+        f"SELECT '{table}' AS table_name, CAST(dt AS VARCHAR) AS part, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys FROM {s} GROUP BY dt"
+        for s in sources
+    ]
+    by_state = lambda table, key, source: [
+        f"SELECT '{table}', CASE WHEN is_current THEN 'open' ELSE 'closed' END, count(*), count(DISTINCT {key}) FROM {source} GROUP BY 2"
+    ]
+    return with_ctes(renamed + _pipeline_ctes(), " UNION ALL ".join([
+        *by_day("bronze.customers_stg", "customer_id", "c_stg1", "c_stg2"), *by_day("bronze.products_stg", "product_id", "stg1", "stg2"),
+        *by_day("bronze.orders_stg", "order_id", "stg_o1", "stg_o2"), *by_state("silver.dim_customer_scd2", "customer_id", "c_dim2"),
+        *by_state("silver.dim_product_scd2", "product_id", "dim2"), *by_day("silver.fact_orders", "order_id", "fact1", "fact2"),
+        *by_day("gold.daily_product_sales", "product_id", "gold1", "gold2"),
+    ]))
 
 
 def oracle_sql() -> dict[str, str]:
-    cust_ctes, cust_cols = _dim_two_days("customers")
-    prod_ctes, prod_cols = _dim_two_days("products")
+    cust_ctes, cust_cols = _dim_days("customers")
+    prod_ctes, _ = _dim_days("products")
     fact_cols = "order_id, order_ts, customer_id, product_id, quantity, unit_price, order_amount, dt, ingest_ts"
     raw_cols = "order_id, order_ts, customer_id, product_id, quantity, unit_price, dt"
     return {
@@ -358,17 +386,17 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 WHERE rn = 1
 """,
         "hash_diff": with_ctes(
-            [("customer_base", CUSTOMER_BASE), ("raw2", RAW_CUSTOMERS_2), ("stg2", std_customers("raw2", DAY2, RUN2))],
-            f"SELECT customer_id, updated_at, {_hash(CUSTOMER_TRACKED)} AS hash_diff FROM stg2",
+            cust_ctes,
+            f"SELECT customer_id, updated_at, {_hash(CUSTOMER_TRACKED)} AS hash_diff FROM (SELECT * FROM stg1 UNION ALL SELECT * FROM stg2)",
         ),
         "fact_orders": with_ctes(_orders_ctes(), f"SELECT {fact_cols} FROM fact_orders"),
         "scd2_customers": with_ctes(cust_ctes, "SELECT * FROM dim2"),
         "scd2_products": with_ctes(prod_ctes, "SELECT * FROM dim2"),
-        "scd2_customers_three_days": with_ctes(_customers_three_days(), "SELECT * FROM dim3"),
-        "scd2_expired": with_ctes(cust_ctes, f"SELECT {cust_cols} FROM merged WHERE expired_now"),
-        "scd2_inserted": with_ctes(cust_ctes, "SELECT * FROM inserted"),
+        "scd2_customers_three_days": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
+        "scd2_expired": with_ctes(cust_ctes, f"SELECT {cust_cols} FROM merged2 WHERE expired_now"),
+        "scd2_inserted": with_ctes(cust_ctes, "SELECT * FROM inserted2"),
         "sales_enriched": with_ctes(
-            _orders_ctes() + prod_ctes,
+            _orders_ctes() + _dim_days("products", withheld=True)[0],
             f"SELECT f.product_id, {', '.join('f.' + c for c in fact_cols.split(', ') if c != 'product_id')}, d.category "
             "FROM fact_orders f LEFT JOIN (SELECT product_id, category FROM dim2 WHERE is_current) d "
             "ON f.product_id = d.product_id",
@@ -386,6 +414,17 @@ WHERE rn = 1
         "pipeline_replay_empty_day": _pipeline_sql(("gold2",)),
         # bucketed dimensions change the physical layout only
         "pipeline_two_days_bucketed": _pipeline_sql(),
+        "fact_orders_by_order_id": with_ctes(_orders_ctes()[:2], fact("stg_orders", "order_id")),
+        "pipeline_dim_customer": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
+        "pipeline_dim_product": with_ctes(_dim_days("products", 3)[0], "SELECT * FROM dim3"),
+        "pipeline_default_clock": with_ctes(
+            cust_ctes,
+            "SELECT customer_id, count(*) AS versions, count(*) FILTER (WHERE is_current) AS open_versions, true AS gapless, true AS past "
+            "FROM dim2 GROUP BY customer_id",
+        ),
+        "pipeline_fact": _pipeline_sql(("fact1", "fact2"), fact_cols),
+        "pipeline_catalog": _catalog_sql(),
+        "scd2_suppliers": _suppliers(),
     }
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
@@ -32,11 +32,13 @@ from strata.operators import (
     transform_fact_orders,
 )
 from strata.plans import adapters as A
-from strata.plans.catalog import drop_registrations
-from strata.plans.daily import read_gold, run_day
+from strata.plans.catalog import create_dimension, drop_registrations
+from strata.plans.daily import DIMENSIONS, ingest_entity, merge_dimension, read_gold, run_day, scd2_merge
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
+from strata.sinks.layout import FACT_ORDERS, TABLES, in_namespace
 from strata.sinks.writers import export_landing
 from strata.sources.landing import read_landing_days
+from strata.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,10 @@ def wall_clock(df: DataFrame) -> DataFrame:
     )
 
 
+RUNS = {A.DAY1: A.RUN1, A.DAY2: A.RUN2, A.DAY3: A.RUN3}
+BUCKETS = 16  # of the bucketed dimensions; a property of the stored tables
+
+
 def _dim_spec(entity: str):
     """(dimension spec, raw snapshot adapter, standardizer) of an entity."""
     if entity == "customers":
@@ -58,38 +64,37 @@ def _dim_spec(entity: str):
     return PRODUCT_DIM_SPEC, A.raw_products, standardize_products
 
 
-def staged(spark: SparkSession, sf_dir: str, entity: str, day: str) -> DataFrame:
+def staged(spark: SparkSession, sf_dir: str, entity: str, day: str, **raw_options) -> DataFrame:
     _, raw, std = _dim_spec(entity)
-    run = {A.DAY1: A.RUN1, A.DAY2: A.RUN2, A.DAY3: A.RUN3}[day]
-    return std(raw(spark, sf_dir, day), day, run)
+    return std(raw(spark, sf_dir, day, **raw_options), day, RUNS[day])
 
 
-def dimension_day1(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec = _dim_spec(entity)[0]
-    stg1 = staged(spark, sf_dir, entity, A.DAY1)
-    return scd2_apply(None, stg1, spec["key"], spec["tracked"], spec["order"], A.RUN1)
-
-
-def dimension_two_days(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec = _dim_spec(entity)[0]
-    dim1 = dimension_day1(spark, sf_dir, entity)
-    stg2 = staged(spark, sf_dir, entity, A.DAY2)
-    return scd2_apply(dim1, stg2, spec["key"], spec["tracked"], spec["order"], A.RUN2)
+def dimension_after(spark: SparkSession, sf_dir: str, entity: str, *days: str, **raw_options) -> DataFrame:
+    """The whole dimension after merging the days' snapshots in turn."""
+    spec, dim = _dim_spec(entity)[0], None
+    for day in days:
+        stg = staged(spark, sf_dir, entity, day, **raw_options)
+        dim = scd2_apply(dim, stg, spec["key"], spec["tracked"], spec["order"], RUNS[day])
+    return dim
 
 
 def day2_merge(spark: SparkSession, sf_dir: str, entity: str):
     spec = _dim_spec(entity)[0]
-    current, _ = split_dimension(dimension_day1(spark, sf_dir, entity))
+    current, _ = split_dimension(dimension_after(spark, sf_dir, entity, A.DAY1))
     stg2 = staged(spark, sf_dir, entity, A.DAY2)
     return scd2_plan(current, stg2, spec["key"], spec["tracked"], spec["order"], A.RUN2)
 
 
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize_orders(A.raw_orders(spark, sf_dir), None, A.RUN1)
+
+
 def fact_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transform_fact_orders(standardize_orders(A.raw_orders(spark, sf_dir), None, A.RUN1))
+    return transform_fact_orders(bronze_orders(spark, sf_dir), ("dt", "order_id"))
 
 
 def current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current, _ = split_dimension(dimension_two_days(spark, sf_dir, "products"))
+    current, _ = split_dimension(dimension_after(spark, sf_dir, "products", A.DAY1, A.DAY2, withheld=True))
     return current
 
 
@@ -110,8 +115,8 @@ def q_latest_per_key(spark, sf_dir):
 
 
 def q_hash_diff(spark, sf_dir):
-    stg2 = staged(spark, sf_dir, "customers", A.DAY2)
-    out = add_hash_diff(stg2, CUSTOMER_DIM_SPEC["tracked"]).select("customer_id", "updated_at", "hash_diff")
+    stg = staged(spark, sf_dir, "customers", A.DAY1).unionByName(staged(spark, sf_dir, "customers", A.DAY2))
+    out = add_hash_diff(stg, CUSTOMER_DIM_SPEC["tracked"]).select("customer_id", "updated_at", "hash_diff")
     return wall_clock(out)
 
 
@@ -119,19 +124,20 @@ def q_fact_orders(spark, sf_dir):
     return wall_clock(fact_all_days(spark, sf_dir))
 
 
+def q_fact_orders_by_order_id(spark, sf_dir):
+    return wall_clock(transform_fact_orders(bronze_orders(spark, sf_dir)))
+
+
 def q_scd2_customers(spark, sf_dir):
-    return wall_clock(dimension_two_days(spark, sf_dir, "customers"))
+    return wall_clock(dimension_after(spark, sf_dir, "customers", A.DAY1, A.DAY2))
 
 
 def q_scd2_products(spark, sf_dir):
-    return wall_clock(dimension_two_days(spark, sf_dir, "products"))
+    return wall_clock(dimension_after(spark, sf_dir, "products", A.DAY1, A.DAY2))
 
 
 def q_scd2_customers_three_days(spark, sf_dir):
-    spec = CUSTOMER_DIM_SPEC
-    dim2 = dimension_two_days(spark, sf_dir, "customers")
-    stg3 = staged(spark, sf_dir, "customers", A.DAY3)
-    return wall_clock(scd2_apply(dim2, stg3, spec["key"], spec["tracked"], spec["order"], A.RUN3))
+    return wall_clock(dimension_after(spark, sf_dir, "customers", A.DAY1, A.DAY2, A.DAY3))
 
 
 def q_scd2_expired(spark, sf_dir):
@@ -182,7 +188,7 @@ def q_landing_roundtrip(spark, sf_dir):
 
 
 def _two_day_run(
-    spark: SparkSession, sf_dir: str, ns: str | None = None, dim_buckets: int | None = None
+    spark: SparkSession, sf_dir: str, ns: str | None = None, dim_buckets: int | None = None, register: bool = False
 ) -> tuple[str, str, DataFrame]:
     """Land two days of snapshots and orders, run the daily job for each;
     returns (landing root, warehouse root, raw orders)."""
@@ -192,10 +198,10 @@ def _two_day_run(
     split = F.col("dt") < F.to_date(F.lit(A.PIPELINE_SPLIT))
     for day, cond in ((A.DAY1, split), (A.DAY2, ~split)):
         export_landing(A.raw_customers(spark, sf_dir, day), landing, "customers", day)
-        export_landing(A.raw_products(spark, sf_dir, day), landing, "products", day)
+        export_landing(A.raw_products(spark, sf_dir, day, withheld=True), landing, "products", day)
         export_landing(orders.where(cond).drop("dt"), landing, "orders", day)
     for day, run in ((A.DAY1, A.RUN1), (A.DAY2, A.RUN2)):
-        run_day(spark, warehouse, day, run, landing_root=landing, register=False, dim_buckets=dim_buckets, ns=ns)
+        run_day(spark, warehouse, day, run, landing_root=landing, register=register, dim_buckets=dim_buckets, ns=ns)
     return landing, warehouse, orders
 
 
@@ -207,13 +213,12 @@ def q_pipeline_two_days(spark, sf_dir):
 
 def q_pipeline_two_days_bucketed(spark, sf_dir):
     """The two daily runs with both dimensions kept as catalog tables bucketed
-    by key (one bucket per shuffle partition), under a private namespace whose
+    by key, under a private namespace whose
     catalog entries are dropped again (the files stay); same gold as the path
     layout."""
     ns = f"chk{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        _, warehouse, _ = _two_day_run(spark, sf_dir, ns=ns, dim_buckets=buckets)
+        _, warehouse, _ = _two_day_run(spark, sf_dir, ns=ns, dim_buckets=BUCKETS)
     finally:
         drop_registrations(spark, ns)
     return wall_clock(read_gold(spark, warehouse, ns))
@@ -229,6 +234,89 @@ def q_pipeline_replay_empty_day(spark, sf_dir):
     return wall_clock(read_gold(spark, warehouse))
 
 
+def _stored_dimension(spark: SparkSession, sf_dir: str, entity: str, *days: str, run_ts: dict | None = None) -> DataFrame:
+    """Land the days' snapshots, run their bronze and dimension jobs, and read
+    the stored dimension back, history included."""
+    landing, warehouse = scratch_path(spark, "dim-landing"), scratch_path(spark, "dim-warehouse")
+    dim_spec, stg_spec, dim = DIMENSIONS[entity]
+    for day in days:
+        run = (run_ts or {}).get(day)
+        export_landing(_dim_spec(entity)[1](spark, sf_dir, day), landing, entity, day)
+        ingest_entity(spark, warehouse, landing, entity, day, run)
+        merge_dimension(spark, warehouse, day, dim_spec, stg_spec, dim, run)
+    return read_table(spark, dim_spec, warehouse)
+
+
+def q_pipeline_dim_customer(spark, sf_dir):
+    """The stored customer dimension after three daily loads."""
+    return wall_clock(_stored_dimension(spark, sf_dir, "customers", A.DAY1, A.DAY2, A.DAY3, run_ts=RUNS))
+
+
+def q_pipeline_dim_product(spark, sf_dir):
+    """The stored product dimension after three daily loads."""
+    return wall_clock(_stored_dimension(spark, sf_dir, "products", A.DAY1, A.DAY2, A.DAY3, run_ts=RUNS))
+
+
+def q_pipeline_default_clock(spark, sf_dir):
+    """Two daily customer loads at whatever time it is: per customer what must
+    hold at any time (one open version; a closed version ends when its
+    successor starts; one instant a run)."""
+    dim = _stored_dimension(spark, sf_dir, "customers", A.DAY1, A.DAY2)
+    by_start = Window.partitionBy("customer_id").orderBy("effective_from_ts")
+    next_start = F.lead("effective_from_ts").over(by_start)
+    meets = F.col("is_current") | F.col("effective_to_ts").eqNullSafe(next_start)
+    versions = dim.select("customer_id", "is_current", meets.alias("meets"), (F.col("ingest_ts") <= F.current_timestamp()).alias("past"))
+    return versions.groupBy("customer_id").agg(
+        F.count("*").alias("versions"), F.count_if("is_current").alias("open_versions"), F.bool_and("meets").alias("gapless"), F.bool_and("past").alias("past")
+    )
+
+
+def q_pipeline_fact(spark, sf_dir):
+    """The stored order fact after two daily runs."""
+    _, warehouse, _ = _two_day_run(spark, sf_dir)
+    return wall_clock(read_table(spark, FACT_ORDERS, warehouse))
+
+
+def q_pipeline_catalog(spark, sf_dir):
+    """Two daily runs registered in the catalog under a private namespace:
+    what SQL over each of the seven tables sees of each day (for the
+    dimensions, of each state), read before the entries are dropped again."""
+    ns = f"chk{uuid.uuid4().hex[:12]}"
+    keys = {"customers_stg": "customer_id", "products_stg": "product_id", "orders_stg": "order_id", "dim_customer_scd2": "customer_id",
+            "dim_product_scd2": "product_id", "fact_orders": "order_id", "daily_product_sales": "product_id"}
+    out = scratch_path(spark, "catalog-view")
+    try:
+        _two_day_run(spark, sf_dir, ns=ns, register=True)
+        parts = []
+        for spec in TABLES:
+            day = "CASE WHEN is_current THEN 'open' ELSE 'closed' END" if spec.is_scd2 else "CAST(dt AS STRING)"
+            name = in_namespace(spec, ns).qualified_name
+            parts.append(
+                f"SELECT '{spec.qualified_name}' AS table_name, {day} AS part, count(*) AS n_rows, count(DISTINCT {keys[spec.name]}) AS n_keys "
+                f"FROM {name} GROUP BY 2"
+            )
+        spark.sql(" UNION ALL ".join(parts)).write.parquet(out)
+    finally:
+        drop_registrations(spark, ns)
+    return spark.read.parquet(out)
+
+
+def q_scd2_suppliers(spark, sf_dir):
+    """A supplier dimension, no part of the warehouse's own tables: created in
+    the catalog, merged by name over two days, read back."""
+    ns = f"chk{uuid.uuid4().hex[:12]}"
+    name, root = f"{ns}_silver.dim_supplier", scratch_path(spark, "suppliers")
+    days = [A.staged_suppliers(spark, sf_dir, day, RUNS[day]) for day in (A.DAY1, A.DAY2)]
+    try:
+        spec = create_dimension(spark, name, days[0].select("supplier_id", "name", "nation").schema, "supplier_id", root)
+        for stg, run in zip(days, (A.RUN1, A.RUN2)):
+            scd2_merge(spark, stg, name, "supplier_id", ["name", "nation"], ["updated_at", "ingest_ts"], run_ts=run)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP DATABASE IF EXISTS {ns}_silver")
+    return wall_clock(read_table(spark, spec, root))
+
+
 QUERIES: dict[str, Query] = {
     "standardize_customers": q_standardize_customers,
     "standardize_products": q_standardize_products,
@@ -249,4 +337,11 @@ QUERIES: dict[str, Query] = {
     "pipeline_two_days": q_pipeline_two_days,
     "pipeline_replay_empty_day": q_pipeline_replay_empty_day,
     "pipeline_two_days_bucketed": q_pipeline_two_days_bucketed,
+    "fact_orders_by_order_id": q_fact_orders_by_order_id,
+    "pipeline_dim_customer": q_pipeline_dim_customer,
+    "pipeline_dim_product": q_pipeline_dim_product,
+    "pipeline_default_clock": q_pipeline_default_clock,
+    "pipeline_fact": q_pipeline_fact,
+    "pipeline_catalog": q_pipeline_catalog,
+    "scd2_suppliers": q_scd2_suppliers,
 }
