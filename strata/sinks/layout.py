@@ -29,13 +29,14 @@ class TableSpec:
     partition_by: tuple[str, ...]
     storage_only: tuple[StructField, ...] = field(default=())
     bucket_col: str | None = None  # key used when the table is bucketed (opt-in)
+    location: str | None = None  # folder of a table registered elsewhere
 
     @property
     def qualified_name(self) -> str:
         return f"{self.layer}.{self.name}"
 
     def path(self, root: str) -> str:
-        return f"{root.rstrip('/')}/{self.layer}/{self.name}"
+        return self.location or f"{root.rstrip('/')}/{self.layer}/{self.name}"
 
     @property
     def storage_schema(self) -> StructType:
@@ -79,6 +80,13 @@ def table_spec(qualified_name: str) -> TableSpec:
     raise KeyError(f"unknown table {qualified_name!r}; known: {[t.qualified_name for t in TABLES]}")
 
 
+def dimension_spec(name: str, schema: StructType, key_col: str, location: str | None = None) -> TableSpec:
+    """The layout of any SCD2 dimension ``layer.name``; ``schema`` is logical
+    (without the storage-only column)."""
+    layer, _, table = name.rpartition(".")
+    return TableSpec(layer or "default", table, schema, ("is_current", SCD2_CLOSED_COL), _CLOSED, key_col, location)
+
+
 def in_namespace(spec: TableSpec, ns: str | None) -> TableSpec:
     """The same table under a private namespace: database ``<ns>_<layer>``
     and folder ``<root>/<ns>_<layer>/<table>`` (``ns=None``: unchanged)."""

@@ -40,12 +40,15 @@ def append_by_name(df: DataFrame, spec: TableSpec, root: str, rebalance: bool =
 
 def replace_day(df: DataFrame, spec: TableSpec, root: str, dt: str) -> None:
     """Idempotent load of one business day: the ``dt=<dt>`` folder is
-    replaced by ``df`` (rows of that day only); an empty ``df`` leaves the day
-    empty.  Other days are untouched.  A static overwrite of the one folder
-    is used on purpose: a dynamic-partition overwrite of an empty frame would
-    keep the old rows."""
+    replaced by ``df``; an empty ``df`` leaves the day empty.  Other days are
+    untouched, and a row of another day (or none) fails the write: it would
+    be lost.  A static overwrite of the one folder is used on purpose: a
+    dynamic-partition overwrite of an empty frame would keep the old rows."""
     day = _dt.date.fromisoformat(str(dt)).isoformat()
-    rows = _by_name(df, spec).where(F.col("dt") == F.to_date(F.lit(day))).drop("dt")
+    found = F.coalesce(F.col("dt").cast("string"), F.lit("no date"))
+    foreign = F.raise_error(F.concat(F.lit(f"{spec.qualified_name}: a row of "), found, F.lit(f" in the load of {day}")))
+    own = F.col("dt").eqNullSafe(F.to_date(F.lit(day)))
+    rows = _by_name(df, spec).where(F.when(own, F.lit(True)).otherwise(foreign.cast("boolean"))).drop("dt")
     rows.write.mode("overwrite").parquet(f"{spec.path(root)}/dt={day}")
     _refresh(df, spec.path(root))
 
@@ -98,22 +101,12 @@ def write_dimension_table(
     dt: str,
 ) -> None:
     """As :func:`write_dimension`, through a registered (bucketed) catalog
-    table: ``insertInto`` keeps the table's bucketing, so the next merge
-    reads the current rows already hash-partitioned by key.  The rows come
-    out of the key join hash-partitioned the same way, so each task writes
-    one file per bucket."""
+    table: ``insertInto`` keeps the table's bucketing.  The table's own options
+    ask for the dynamic overwrite, so no session setting is touched and merges
+    into several tables can run in one session."""
     rows = _dimension_rows(spec, current_and_closed, previously_closed_today, dt)
     cols = spark.table(table).columns  # the catalog orders partition columns last
-    # A catalog insert takes the overwrite mode from the session (the write
-    # option is not consulted), and only the dynamic mode may replace folders
-    # of the table being read.  Set it for this one insert, then restore.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        rows.select(*cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, previous)
+    rows.select(*cols).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 

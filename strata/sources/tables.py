@@ -1,7 +1,9 @@
 """Scans of stored (path-based, Hive-partitioned Parquet) tables.
 
 A schema is always supplied, so no footer sampling happens and column order
-is the logical one (Spark would otherwise move partition columns last).
+is the logical one (Spark would otherwise move partition columns last).  A
+scan of one partition names its folder, so only that folder is listed,
+however many the table has; a folder that isn't there is an empty partition.
 """
 
 from __future__ import annotations
@@ -9,52 +11,48 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from strata.sinks.layout import SCD2_CLOSED_COL, TableSpec
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of its own file system.  Any error but
+    its absence is raised."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(conf).exists(where)
+
+
 def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     """The whole table in its logical schema (storage-only columns dropped)."""
     df = spark.read.schema(spec.storage_schema).parquet(spec.path(root))
     return df.select(*spec.schema.names)
 
 
-def read_day(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> DataFrame:
-    """One business day; the literal folds, so only ``dt=<dt>`` is listed."""
-    day = _dt.date.fromisoformat(str(dt)).isoformat()
-    return read_table(spark, spec, root).where(F.col("dt") == F.to_date(F.lit(day)))
-
-
-def read_current(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """Current dimension rows; prunes to the ``is_current=true`` folders."""
-    df = spark.read.schema(spec.storage_schema).parquet(spec.path(root))
-    return df.where(F.col("is_current")).select(*spec.schema.names)
+def read_folder(spark: SparkSession, spec: TableSpec, root: str, *partition: str) -> DataFrame:
+    """One partition, given as ``name=value`` folders, in the logical schema."""
+    base = spec.path(root)
+    folder = "/".join([base, *partition])
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], spec.schema)
+    df = spark.read.schema(spec.storage_schema).option("basePath", base).parquet(folder)
+    return df.select(*spec.schema.names)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer input splits than the
-    session has task slots (e.g. one Parquet row group, which only one task
-    can read).  A sorted round-robin repartition keeps task retries
-    deterministic.  At scale, inputs have far more splits than slots and
-    this returns ``df`` unchanged, adding no shuffle."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no JVM-side context (e.g. a Spark Connect session)
-        return df
-    return df.repartition(slots) if splits < slots else df
+def read_day(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> DataFrame:
+    """One business day."""
+    return read_folder(spark, spec, root, f"dt={_dt.date.fromisoformat(str(dt)).isoformat()}")
 
 
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan pruned to ``columns`` and spread as :func:`spread`."""
-    df = spark.read.parquet(path)
-    return spread(df.select(*columns) if columns else df)
+def read_current(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
+    """The current rows of a dimension."""
+    return read_folder(spark, spec, root, "is_current=true")
 
 
-def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def read_closed(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> DataFrame:
+    """The dimension's versions closed by the run of one business day."""
+    day = _dt.date.fromisoformat(str(dt)).isoformat()
+    return read_folder(spark, spec, root, "is_current=false", f"{SCD2_CLOSED_COL}={day}")
 
 
-__all__ = ["SCD2_CLOSED_COL", "empty", "read_current", "read_day", "read_parquet", "read_table", "spread"]
+__all__ = ["folder_exists", "read_closed", "read_current", "read_day", "read_folder", "read_table"]
