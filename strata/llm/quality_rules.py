@@ -151,7 +151,7 @@ def thresholds(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     both = own.join(wide, own["lang"].eqNullSafe(wide["l"]) & (own["ratio"] == wide["r"]))
     small = F.col("total") < min_group
     return both.groupBy("lang", "source").agg(*(
-        F.max(F.when(F.col("ratio") == r, F.when(small, F.col(f"wide_{q}")).otherwise(F.col(q)))).alias(f"{r}_{q}")
+        F.max(F.when(F.col("ratio") == r, F.when(small, F.col(f"wide_{q}")).otherwise(F.col(q)))).alias(f"__{r}_{q}")
         for r in RATIOS for q in ("low", "high")
     ))
 
@@ -162,7 +162,7 @@ def within_fences() -> Column:
     ok = F.lit(True)
     words = F.col("__counts.n_words")
     for r, (count, spread, slack, both) in RATIOS.items():
-        low, high = F.col(f"{r}_low"), F.col(f"{r}_high")
+        low, high = F.col(f"__{r}_low"), F.col(f"__{r}_high")
         room = FENCE * F.greatest(high - low, F.lit(spread)) * (words + slack)
         have = F.col(f"__counts.{count}") * 1000
         ok = ok & (have - high * words <= room)

@@ -1,0 +1,77 @@
+import math
+
+import numpy as np
+import pytest
+
+from strata.llm import embedding_blocks as E
+
+SCHEMA = "vec_id long, embedding array<float>, label int, block int, slab int"
+
+
+def vectors(seed=1, dims=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((12, dims))
+    rows = [rng.standard_normal(dims) for _ in range(80)]
+    rows += [c + rng.standard_normal(dims) * s for c in centres for s in rng.uniform(0.02, 0.45, 15)]
+    rows += [centres[0] * k for k in (1, 2, 1e-20, 1e15)]  # one direction, any length
+    return [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(rows)]
+
+
+def odd(start, dims=16):
+    cases = [None, [0.0] * dims, [1.0] * (dims - 1), [float("nan")] + [1.0] * (dims - 1), [float("inf")] * dims, [None] + [1.0] * (dims - 1), []]
+    return [(start + i, v) for i, v in enumerate(cases)]
+
+
+def brute(rows, threshold, dims=16):
+    unit = {}
+    for i, v in rows:
+        if v is not None and len(v) == dims and None not in v and all(map(math.isfinite, v)) and any(v):
+            a = np.array(v) / max(map(abs, v))
+            unit[i] = a / np.sqrt(a @ a)
+    links = {i: [j for j in unit if j != i and unit[i] @ unit[j] >= threshold] for i in unit}
+    out = {}
+    for i, _ in rows:
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links.get(todo.pop(), []):
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        out[i] = (len(links.get(i, [])), min(seen))
+    return out
+
+
+@pytest.mark.parametrize("threshold, blocks, chunk", [(0.9, 4, 8192), (0.9, 2, 16), (0.7, 5, 50), (0.99, 16, 8192)])
+def test_against_brute_force(spark, threshold, blocks, chunk):
+    rows = vectors() + odd(1000)
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA).repartition(4)
+    got = E.near_duplicates(df, 16, threshold, blocks, chunk).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == brute(rows, threshold)
+    assert len(got) == len(rows)
+
+
+def test_a_pair_is_found_by_its_first_block_only():
+    rng = np.random.default_rng(5)
+    values = np.repeat(rng.standard_normal((6, 16)), 7, axis=0) + rng.standard_normal((42, 16)) * 0.05
+    found = []
+    for block in range(4):
+        for i, j in E.linked_pairs(values, None, block, 4, 0.9):
+            found += list(zip(i.tolist(), j.tolist()))
+    u = E.unit(values)
+    want = [(i, j) for i in range(42) for j in range(i + 1, 42) if u[i] @ u[j] >= 0.9]
+    assert sorted(found) == sorted(want) and len(set(found)) == len(found)
+
+
+def test_the_result_follows_the_vectors_not_the_pairs(spark):
+    rows = [(i, [1.0] + [0.001 * (i % 50)] * 15) for i in range(400)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA)
+    placed = E.stored(E.vector_slabs(df, 16, 0.9, 4), "test-slabs")
+    assert E.compare_tiles(E._tiles(placed, 100), 16, 4, 0.9).count() <= 400 * 4 * 3
+    got = E.near_duplicates(df, 16, 0.9, 4, 100).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
+
+
+def test_repeated_ids_and_empty(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1, 2, 3), (1, [1.0, 0.0], 1, 2, 3), (2, [0.0, 1.0], 1, 2, 3)], SCHEMA)
+    assert sorted(tuple(r) for r in E.near_duplicates(df, 2, blocks=2).collect()) == [(1, 2, 1), (1, 2, 1), (2, 0, 2)]
+    assert E.near_duplicates(spark.createDataFrame([], SCHEMA), 4).collect() == []
