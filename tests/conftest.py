@@ -12,7 +12,7 @@ from strata.config import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[*]", 8, "strata-tests",
+        os.environ.get("TEST_MASTER", "local[*]"), 8, "strata-tests",
         extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-test-ckpt-")},
     )
     yield session

@@ -8,10 +8,14 @@ UTC = dt.timezone.utc
 
 
 def test_compute_yesterday_dt_clock_cases():
-    assert compute_yesterday_dt(dt.datetime(2026, 2, 21, 10, 0, tzinfo=UTC)) == {"dt": "2026-02-20"}
-    assert compute_yesterday_dt(dt.datetime(2026, 2, 21, 0, 5, tzinfo=UTC)) == {"dt": "2026-02-20"}
-    assert compute_yesterday_dt(dt.datetime(2026, 3, 29, 1, 30, tzinfo=UTC)) == {"dt": "2026-03-28"}
-    assert compute_yesterday_dt(dt.datetime(2026, 7, 20, 23, 30, tzinfo=UTC)) == {"dt": "2026-07-20"}
+    cases = {  # instant (UTC): the London day before
+        (2025, 9, 1, 12, 30): "2025-08-31",
+        (2025, 1, 1, 0, 1): "2024-12-31",
+        (2024, 10, 27, 0, 30): "2024-10-26",  # the hour before the clocks go back
+        (2025, 6, 9, 23, 5): "2025-06-09",  # already the 10th in London
+    }
+    for instant, day in cases.items():
+        assert compute_yesterday_dt(dt.datetime(*instant, tzinfo=UTC)) == {"dt": day}
 
 
 def test_scd2_merge_into_stored_dimension_by_name(spark, tmp_root):

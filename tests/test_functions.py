@@ -83,10 +83,10 @@ def test_change_hash_stable_sensitive_and_null_as_empty(spark):
 @pytest.mark.parametrize(
     "utc, expected",
     [
-        (dt.datetime(2026, 2, 21, 10, 0, 0), dt.date(2026, 2, 20)),
-        (dt.datetime(2026, 2, 21, 0, 5, 0), dt.date(2026, 2, 20)),
-        (dt.datetime(2026, 3, 29, 1, 30, 0), dt.date(2026, 3, 28)),
-        (dt.datetime(2026, 7, 20, 23, 30, 0), dt.date(2026, 7, 20)),  # 00:30 BST on the 21st
+        (dt.datetime(2025, 9, 1, 12, 30, 0), dt.date(2025, 8, 31)),
+        (dt.datetime(2025, 1, 1, 0, 1, 0), dt.date(2024, 12, 31)),
+        (dt.datetime(2024, 10, 27, 0, 30, 0), dt.date(2024, 10, 26)),
+        (dt.datetime(2025, 6, 9, 23, 5, 0), dt.date(2025, 6, 9)),  # 00:05 BST on the 10th
     ],
 )
 def test_previous_business_date_london(spark, utc, expected):

@@ -182,38 +182,18 @@ def test_dimension_history_folders_are_never_rewritten(spark, tmp_root):
     assert folders == [f"closed_dt={DAYS[1]}", f"closed_dt={DAYS[2]}"]
 
 
-def test_bucketed_dimensions_match_path_layout_and_skip_the_current_shuffle(spark, tmp_root, capsys, clean_catalog):
-    from strata.operators import scd2_plan
-    from strata.schemas import CUSTOMER_DIM_SPEC as C
-
+def test_bucketed_dimensions_match_path_layout(spark, tmp_root, clean_catalog):
     landing = os.path.join(tmp_root, "landing")
     plain, bucketed = os.path.join(tmp_root, "plain"), os.path.join(tmp_root, "bucketed")
     _scenario(spark, landing)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     for i, day in enumerate(DAYS):
         run_ts = f"2026-02-{21 + i} 06:00:00"
         run_day(spark, plain, day, run_ts, landing_root=landing, register=False)
-        run_day(spark, bucketed, day, run_ts, landing_root=landing, register=False, dim_buckets=buckets)
+        run_day(spark, bucketed, day, run_ts, landing_root=landing, register=False, dim_buckets=4)
     assert _snapshot(spark, plain) == _snapshot(spark, bucketed)
     assert spark.table(L.DIM_CUSTOMER.qualified_name).where("customer_id = 'C1'").count() == 3
-
-    # the merge join reads current rows already partitioned by key: only the stage is shuffled
-    current = spark.table(L.DIM_CUSTOMER.qualified_name).where("is_current").select(*L.DIM_CUSTOMER.schema.names)
-    stg = read_day(spark, L.CUSTOMERS_STG, bucketed, DAYS[2])
-    plan = scd2_plan(current, stg, C["key"], C["tracked"], C["order"], "2026-02-24 06:00:00")
-    capsys.readouterr()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as at scale: no side is tiny
-    try:
-        plan.expired.explain()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    text = capsys.readouterr().out
-    assert "Bucketed: true" in text
-    exchanges = [ln for ln in text.splitlines() if "Exchange hashpartitioning" in ln]
-    assert exchanges and all("customer_id" in ln for ln in exchanges)
-    scan_line = next(ln for ln in text.splitlines() if "Bucketed: true" in ln)
-    # no exchange sits between the join and the bucketed scan of the current rows
-    assert len(scan_line) - len(scan_line.lstrip(" :+-")) > 0
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
 def test_catalog_guard_refuses_another_warehouse_or_bucketing(spark, tmp_root, clean_catalog):
@@ -252,12 +232,77 @@ def test_backfill_append_rebalances_by_day(spark, tmp_root):
     assert len(per_day) == 5 and max(per_day) < 8  # not one file per (task, day)
 
 
-def test_spread_only_when_splits_are_scarce(spark, tmp_root):
-    from strata.sources.tables import read_parquet, spread
+def test_replace_day_fails_on_rows_of_another_day(spark, tmp_root):
+    import pytest
+
+    schema = "dt date, product_id string, category string, orders_count long, units_sold long, gross_revenue decimal(18,2), unique_customers long, ingest_ts timestamp"
+    row = lambda day: (day, "P", "c", 1, 1, None, 1, None)
+    import datetime as dt
+
+    own, other = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
+    for days in ([own, other], [own, None]):
+        with pytest.raises(Exception, match="in the load of 2026-05-01"):
+            replace_day(spark.createDataFrame([row(d) for d in days], schema), L.DAILY_PRODUCT_SALES, tmp_root, "2026-05-01")
+    replace_day(spark.createDataFrame([row(own)], schema), L.DAILY_PRODUCT_SALES, tmp_root, "2026-05-01")
+    assert read_day(spark, L.DAILY_PRODUCT_SALES, tmp_root, "2026-05-01").count() == 1
+
+
+def test_a_merge_after_a_broken_commit_is_refused(spark, tmp_root):
+    import shutil
+
+    import pytest
+
+    landing = os.path.join(tmp_root, "landing")
+    _scenario(spark, landing)
+    for i, day in enumerate(DAYS[:2]):
+        run_day(spark, tmp_root, day, f"2026-02-{21 + i} 06:00:00", landing_root=landing, register=False)
+    path = L.DIM_CUSTOMER.path(tmp_root)
+    assert os.path.isdir(f"{path}/is_current=false")
+    shutil.move(f"{path}/is_current=true", os.path.join(tmp_root, "aside"))
+    with pytest.raises(RuntimeError, match="history but no current rows"):
+        run_day(spark, tmp_root, DAYS[2], "2026-02-23 06:00:00", landing_root=landing, register=False)
+
 
-    path = os.path.join(tmp_root, "one.parquet")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    slots = spark.sparkContext.defaultParallelism
-    assert read_parquet(spark, path).rdd.getNumPartitions() == slots
-    many = spark.range(0, 1000, 1, slots * 2)
-    assert spread(many) is many
+def test_a_damaged_dimension_is_not_taken_for_a_first_load(spark, tmp_root):
+    import pytest
+
+    landing = os.path.join(tmp_root, "landing")
+    _scenario(spark, landing)
+    run_day(spark, tmp_root, DAYS[0], "2026-02-21 06:00:00", landing_root=landing, register=False)
+    folder = f"{L.DIM_CUSTOMER.path(tmp_root)}/is_current=true"
+    for top, _, names in os.walk(folder):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(os.path.join(top, name), "wb") as f:
+                    f.write(b"not parquet")
+    with pytest.raises(Exception):
+        run_day(spark, tmp_root, DAYS[1], "2026-02-22 06:00:00", landing_root=landing, register=False)
+
+
+def test_generic_merge_by_name_defaults_and_refusals(spark, tmp_root):
+    import datetime as dt
+
+    import pytest
+
+    from strata.plans.catalog import create_dimension
+    from strata.plans.daily import scd2_merge
+
+    root = os.path.join(tmp_root, "it's here")  # the quote must survive the DDL
+    name = "generic_db.dim_shop"
+    stage = lambda city, day: spark.createDataFrame(
+        [("S1", city, dt.datetime(2026, 4, day), dt.datetime(2026, 4, day), dt.date(2026, 4, day))],
+        "shop_id string, city string, updated_at timestamp, ingest_ts timestamp, dt date",
+    )
+    try:
+        spec = create_dimension(spark, name, stage("x", 1).select("shop_id", "city").schema, "shop_id", root)
+        for city, day in (("Leeds", 1), ("York", 2), ("York", 3)):
+            scd2_merge(spark, stage(city, day), name, "shop_id", ["city"], ["updated_at", "ingest_ts"])
+        seen = sorted((r["city"], r["is_current"], str(r["closed_dt"])) for r in spark.table(name).collect())
+        assert seen == [("Leeds", False, "2026-04-02"), ("York", True, "9999-12-31")]
+        versions = {r["city"]: r for r in read_table(spark, spec, root).collect()}
+        assert versions["Leeds"]["effective_to_ts"] == versions["York"]["effective_from_ts"]
+        with pytest.raises(ValueError, match="not an SCD2 dimension"):
+            scd2_merge(spark, stage("x", 4), name, "shop_id", ["colour"], ["updated_at"])
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql("DROP DATABASE IF EXISTS generic_db")

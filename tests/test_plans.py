@@ -1,15 +1,16 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import build_daily_product_sales, latest_per_key, scd2_plan
+from strata.operators import build_daily_product_sales, latest_per_key, scd2_apply, scd2_plan
 from strata.plans import registry as R
 from strata.sinks import layout as L
-from strata.sinks.writers import replace_day
-from strata.sources.tables import read_current, read_day
+from strata.sinks.writers import replace_day, write_dimension
+from strata.sources.tables import read_closed, read_current, read_day
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,24 +37,44 @@ def test_scans_are_pruned(spark, capsys):
     assert "l_comment" not in read and "l_extendedprice" not in read and "l_suppkey" not in read
 
 
-def test_day_scan_prunes_partitions(spark, capsys, tmp_root):
-    df = spark.createDataFrame(
-        [("O1", None, "C1", "P1", 1, 1.0, None, "2026-02-20", None)],
+def _fact_day(spark, day):
+    return spark.createDataFrame(
+        [("O1", None, "C1", "P1", 1, 1.0, None, day, None)],
         "order_id string, order_ts timestamp, customer_id string, product_id string, quantity int, "
         "unit_price double, order_amount decimal(18,2), dt string, ingest_ts timestamp",
     ).withColumn("dt", F.to_date("dt"))
-    replace_day(df, L.FACT_ORDERS, tmp_root, "2026-02-20")
-    text = plan_text(read_day(spark, L.FACT_ORDERS, tmp_root, "2026-02-20"), capsys)
-    assert "PartitionFilters: [isnotnull(dt" in text and "2026-02-20" in text
 
 
-def test_current_scan_prunes_to_current_folder(spark, capsys, tmp_root):
-    from strata.sinks.writers import write_dimension
+def listed(df):
+    """Files that the scans of a plan discovered."""
+    node = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(node.apply(i).relation().location().inputFiles().__len__() for i in range(node.size()))
 
-    dim = spark.createDataFrame([("P1", "n", "c", 1.0, "h", None, None, True, None)], L.DIM_PRODUCT.schema)
-    write_dimension(spark, L.DIM_PRODUCT, tmp_root, dim, None, "2026-02-20")
-    text = plan_text(read_current(spark, L.DIM_PRODUCT, tmp_root), capsys)
-    assert "PartitionFilters: [isnotnull(is_current" in text
+
+def test_day_scan_lists_only_its_day(spark, tmp_root):
+    found = []
+    for n in (1, 5, 20):
+        for i in range(n):
+            day = f"2026-03-{i + 1:02d}"
+            replace_day(_fact_day(spark, day), L.FACT_ORDERS, tmp_root, day)
+        df = read_day(spark, L.FACT_ORDERS, tmp_root, "2026-03-01")
+        found.append(listed(df))
+        assert df.count() == 1 and str(df.first()["dt"]) == "2026-03-01"
+    assert found == [1, 1, 1]
+    assert read_day(spark, L.FACT_ORDERS, tmp_root, "2026-04-01").count() == 0  # no folder: no rows
+
+
+def test_current_and_closed_scans_list_only_their_folder(spark, tmp_root):
+    for day in ("2026-02-20", "2026-02-21", "2026-02-22"):
+        dim = spark.createDataFrame(
+            [("P1", "n", "c", 1.0, "h", None, None, True, None), ("P1", "n", "b", 1.0, "g", None, None, False, None)], L.DIM_PRODUCT.schema
+        ).coalesce(1)
+        write_dimension(spark, L.DIM_PRODUCT, tmp_root, dim, None, day)
+    current = read_current(spark, L.DIM_PRODUCT, tmp_root)
+    closed = read_closed(spark, L.DIM_PRODUCT, tmp_root, "2026-02-21")
+    assert listed(current) == listed(closed) == 1
+    assert [r["is_current"] for r in current.collect()] == [True] and [r["is_current"] for r in closed.collect()] == [False]
+    assert read_closed(spark, L.DIM_PRODUCT, tmp_root, "2026-03-01").count() == 0
 
 
 def test_gold_joins_the_aggregate_not_the_fact(spark, capsys):
@@ -74,10 +95,40 @@ def test_gold_joins_the_aggregate_not_the_fact(spark, capsys):
     assert "Exchange" not in above
 
 
-def test_scd2_has_no_broadcast_hint_and_one_exchange_per_input(spark, capsys):
-    cur = spark.createDataFrame([], L.DIM_CUSTOMER.schema)
-    stg = spark.createDataFrame([], "customer_id string, full_name string, email string, city string, "
-                                    "updated_at timestamp, ingest_ts timestamp")
-    plan = scd2_plan(cur, stg, "customer_id", ["full_name", "email", "city"], ["updated_at", "ingest_ts"])
-    text = plan_text(plan.inserted, capsys, "extended")
-    assert "broadcast" not in text.split("== Physical Plan ==")[0].lower()
+def _nodes(df, capsys):
+    text = plan_text(df, capsys, "simple")
+    count = lambda pattern: len(re.findall(rf"^[ :+\\-*()0-9]*{pattern}", text, re.M))
+    return {n: count(n) for n in ("Exchange", "FileScan", r"\w*Join", "Sort ", "Window ")}
+
+
+def _stored(spark, root, days):
+    """A stored dimension and staged days, so that scans are file scans."""
+    dim = spark.createDataFrame([("C1", "a", "a@x", "L", "h", None, None, True, None)], L.DIM_CUSTOMER.schema)
+    write_dimension(spark, L.DIM_CUSTOMER, root, dim, None, "2026-02-20")
+    stages = []
+    for i in range(days):
+        path = f"{root}/stage{i}"
+        schema = "customer_id string, full_name string, email string, city string, updated_at timestamp, ingest_ts timestamp"
+        spark.createDataFrame([("C1", "a", "a@x", f"M{i}", None, None)], schema).write.parquet(path)
+        stages.append(spark.read.parquet(path))
+    return read_current(spark, L.DIM_CUSTOMER, root), stages
+
+
+SPEC = ("customer_id", ["full_name", "email", "city"], ["updated_at", "ingest_ts"])
+
+
+def test_scd2_merge_scans_once_shuffles_twice_and_joins_nothing(spark, capsys, tmp_root):
+    current, (stg,) = _stored(spark, tmp_root, 1)
+    n = _nodes(scd2_plan(current, stg, *SPEC).current_and_closed(), capsys)
+    assert n["Exchange"] == 2 and n["FileScan"] == 2 and n[r"\w*Join"] == 0, n
+
+
+def test_scd2_plan_grows_linearly_with_the_days(spark, capsys, tmp_root):
+    dim, stages = _stored(spark, tmp_root, 4)
+    seen = []
+    for stg in stages:
+        dim = scd2_apply(dim, stg, *SPEC)
+        seen.append(_nodes(dim, capsys))
+    for kind in ("Exchange", "FileScan", "Window "):
+        steps = [b[kind] - a[kind] for a, b in zip(seen, seen[1:])]
+        assert len(set(steps)) == 1 and steps[0] <= 3, (kind, seen)
