@@ -89,12 +89,12 @@ def test_replace_day_empty_and_neighbours(spark, tmp_root):
     rows = [("O1", None, "C1", "P1", 1, 1.0, None, "2026-02-20", None), ("O2", None, "C1", "P1", 1, 1.0, None, "2026-02-21", None)]
     df = spark.createDataFrame(rows, "order_id string, order_ts timestamp, customer_id string, product_id string, quantity int, unit_price double, order_amount decimal(18,2), dt string, ingest_ts timestamp").withColumn("dt", F.to_date("dt"))
     for day in ("2026-02-20", "2026-02-21"):
-        replace_day(df, L.FACT_ORDERS, root, day)
+        replace_day(df.where(F.col("dt") == day), L.FACT_ORDERS, root, day)
     assert read_table(spark, L.FACT_ORDERS, root).count() == 2
     replace_day(df.limit(0), L.FACT_ORDERS, root, "2026-02-21")
     out = read_table(spark, L.FACT_ORDERS, root)
     assert [r["order_id"] for r in out.collect()] == ["O1"]
-    replace_day(df, L.FACT_ORDERS, root, "2026-02-21")
+    replace_day(df.where("dt = '2026-02-21'"), L.FACT_ORDERS, root, "2026-02-21")
     assert read_table(spark, L.FACT_ORDERS, root).count() == 2
 
 
