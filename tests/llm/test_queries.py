@@ -1,0 +1,22 @@
+"""The registered queries against their SQL on the driver's smallest tables;
+those beyond SQL are tested with their operators."""
+
+import os
+
+import pytest
+
+from strata.llm.queries import ORACLE_SQL, QUERIES
+from tools.check_oracle import compare, duck
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_oracle(spark, name):
+    result = compare(spark, duck(SF), SF, QUERIES[name], ORACLE_SQL[name])
+    assert result["cols"] and result["values"], result
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
