@@ -88,8 +88,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQ
         encoder = shared_encoder(tokenizer, False)
         end = end_id.to_bytes(encoder.dtype.itemsize, "little")
         deal = random.Random(f"{seed}:{TaskContext.get().partitionId()}")
-        for doc_id, text in rows:
-            ids = encoder.widen(encoder.encode(text or "") + end)
+        for doc_id, ids in encoder.encode_rows(rows):
+            ids = encoder.widen(ids + end)
             for start in range(0, len(ids), sequence):
                 part = ids[start : start + sequence].tobytes()
                 yield doc_id, start, len(part) // 4, zlib.crc32(part), len(ids), deal.getrandbits(62), part if with_ids else None

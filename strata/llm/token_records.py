@@ -91,11 +91,11 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         width = encoder.dtype.itemsize
         end = end_id.to_bytes(width, "little")
         try:
-            for position, (doc_id, text) in enumerate(rows):
+            for position, (doc_id, ids) in enumerate(encoder.encode_rows(rows)):
                 if out is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(f"{root}/{name}", buffer_size=1 << 20)
-                ids = encoder.encode(text) + end
+                ids += end
                 record = frame(doc_id, ids)
                 out.write(record)
                 n = len(ids) // width

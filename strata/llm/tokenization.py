@@ -12,14 +12,33 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY_PIECES = 500_000
-LONGEST_REMEMBERED = 64
+MEMORY_PIECES = 400_000
+
+BATCH_CHARS = 1_000_000
 
 _SAFE_GAP = re.compile(r"(?<=[\w!-~])(?= )")
 _OTHER_GAP = re.compile(r"[^\w!-~] ")
+_ASCII_GAPS = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
+#: Marks that end a token where a letter or digit stands before them.
+_MARKS = frozenset(".,!?;:")
+_ALNUM = frozenset(string.ascii_letters + string.digits)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    bytes stand for themselves, the others for 256, 257, ..."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class PieceEncoder:
@@ -35,32 +54,81 @@ class PieceEncoder:
         self.keep_spaces, self.dtype = keep_spaces, np.dtype(dtype)
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"ids of {path} do not fit {dtype}")
-        self.memory: dict[str, bytes] = {}
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.memory: dict[str, bytes] = {"": b""}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.marks = {m: array(self.code, self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in _MARKS}
 
     def pieces(self, text: str) -> list[str]:
         if not self.keep_spaces:
             return text.replace("\n", " ").split(" ")
-        if "\0" in text or _OTHER_GAP.search(text):
+        odd = any(g in text for g in _ASCII_GAPS) if text.isascii() else _OTHER_GAP.search(text)
+        if odd or "\0" in text:
             return _SAFE_GAP.split(text)
         return text.replace(" ", "\0 ").split("\0")
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian integers of ``dtype``."""
-        pieces = self.pieces(text)
-        try:
-            return b"".join(map(self.memory.__getitem__, pieces))
-        except KeyError:
-            pass
-        memory = self.memory
-        fresh: dict[str, bytes] = {}
-        missing = [p for p in dict.fromkeys(pieces) if p not in memory]
-        for at in range(0, len(missing), 2048):
-            part = missing[at : at + 2048]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                fresh[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
+    def _word(self, piece: str) -> bytes | None:
+        """Ids of a piece that is one word of Latin letters: the pre-tokenizer
+        leaves it whole, so the library's model takes it as it is."""
+        word = piece[1:] if self.keep_spaces and piece[0] == " " else piece
+        if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
+            return None
+        if not self.keep_spaces:
+            piece = piece.lower()
+        if not piece.isascii() or self.keep_spaces:
+            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.tokenize(piece)]).tobytes()
+
+    def _look_up(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that aren't in memory.  A mark after an ASCII letter or
+        digit is a token of its own, so the piece without it is looked up."""
+        memory, out, rest = self.memory, {}, []
+        for p in missing:
+            stem = p[:-1] if p[-1] in _MARKS and p[-2:-1] in _ALNUM else p
+            ids = memory.get(stem) or self._word(stem)
+            if ids is None:
+                rest.append(p)
+            else:
+                out[p] = ids if stem is p else ids + self.marks[p[-1]]
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out.update(zip(part, [array(self.code, e.ids).tobytes() for e in found]))
         if len(memory) < MEMORY_PIECES:  # full: the frequent pieces are long since in it
-            memory.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST_REMEMBERED)
-        return b"".join(fresh[p] if p in fresh else memory[p] for p in pieces)
+            memory.update(out)
+        return out
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian integers of ``dtype``."""
+        split = [self.pieces(t) for t in texts]
+        known = [list(map(self.memory.get, pieces)) for pieces in split]
+        gaps = [[i for i, ids in enumerate(k) if ids is None] if None in k else [] for k in known]
+        missing = {pieces[i] for pieces, at in zip(split, gaps) for i in at}
+        if missing:
+            fresh = self._look_up(missing)
+            for pieces, k, at in zip(split, known, gaps):
+                for i in at:
+                    k[i] = fresh[pieces[i]]
+        return [b"".join(k) for k in known]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
+
+    def encode_rows(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        """``(..., text)`` rows as ``(..., ids)`` rows, some texts at a time."""
+        held, chars = [], 0
+        for row in rows:
+            held.append(row)
+            chars += len(row[-1] or "")
+            if chars >= BATCH_CHARS or len(held) >= 1000:
+                yield from self._encode_held(held)
+                held, chars = [], 0
+        if held:
+            yield from self._encode_held(held)
+
+    def _encode_held(self, held: list[tuple]) -> Iterator[tuple]:
+        for row, ids in zip(held, self.encode_many([r[-1] or "" for r in held])):
+            yield (*row[:-1], ids)
 
     def widen(self, ids: bytes) -> np.ndarray:
         """The ids as little-endian unsigned 32-bit integers."""
