@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from strata.llm.common import rows_of, stored
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 10_000_000
 BUCKET_CHARS = 8_000_000
 MICRO = 1_000_000
 
@@ -50,6 +51,25 @@ _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.binary()), ("has_id",
 BLOCK = "block long, doc_ids binary, has_id binary, lengths array<int>, words binary, vocabulary binary"
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: first all lowest bytes, then the next, so
+    that the mostly empty high bytes cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes())
+
+
+def unsqueeze(packed: bytes, dtype: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).reshape(-1)
+
+
+def squeeze_sorted(keys: np.ndarray) -> bytes:
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unsqueeze_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(packed, np.uint64), dtype=np.uint64)
+
+
 def encode_block(texts: list[str | None]) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Words a document, each word's number, and the hash of each number's word."""
     numbers: dict[bytes, int] = {}
@@ -90,8 +110,7 @@ class Block:
     def __init__(self, lengths, words: bytes, vocabulary: bytes, order: int, buckets: int):
         self.lengths = np.array(lengths, dtype=np.int64)
         self.doc_of = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        words = np.frombuffer(words, dtype=np.uint32)
-        self.grams = ngram_keys(words, np.frombuffer(vocabulary, dtype=np.uint64), self.doc_of, order)
+        self.grams = ngram_keys(unsqueeze(words, np.uint32), np.frombuffer(vocabulary, dtype=np.uint64), self.doc_of, order)
         every = np.concatenate([k[inside] for k, inside in self.grams])
         keys, self.inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
         bucket = (keys % np.uint64(buckets)).astype(np.int64)
@@ -138,7 +157,7 @@ def blocks_of(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
             lengths, words, hashes = encode_block(texts)
             numbers = np.array([i or 0 for i in ids], dtype=np.int64)
             known = np.array([i is not None for i in ids])
-            row = [[first + n], [numbers.tobytes()], [known.tobytes()], [lengths], [words.tobytes()], [hashes.tobytes()]]
+            row = [[first + n], [numbers.tobytes()], [known.tobytes()], [lengths], [squeeze(words)], [hashes.tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, _BLOCK.types)], schema=_BLOCK)
 
         for doc_id, text in rows_of(batches, "doc_id", "text"):
@@ -162,7 +181,7 @@ def requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
         for block, lengths, words, vocabulary in rows_of(batches, "block", "lengths", "words", "vocabulary"):
             b = Block(lengths, words, vocabulary, order, buckets)
             cut = list(zip(b.cuts, b.cuts[1:]))
-            cols = [[block] * len(cut), b.buckets.tolist(), [b.keys[i:j].tobytes() for i, j in cut], [b.counts[i:j].tobytes() for i, j in cut]]
+            cols = [[block] * len(cut), b.buckets.tolist(), [squeeze_sorted(b.keys[i:j]) for i, j in cut], [squeeze(b.counts[i:j]) for i, j in cut]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
 
     return blocks.select("block", "lengths", "words", "vocabulary").mapInArrow(run, "block long, bucket long, keys binary, counts binary")
@@ -172,12 +191,12 @@ def answers(asked: DataFrame) -> DataFrame:
     """``(block, bucket, totals)``: the corpus counts of each request, in its order."""
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, dtype=np.uint64) for k in rows["keys"]]
-        counts = np.concatenate([np.frombuffer(c, dtype=np.uint32) for c in rows["counts"]]).astype(np.float64)
+        keys = [unsqueeze_sorted(k) for k in rows["keys"]]
+        counts = np.concatenate([unsqueeze(c, np.uint32) for c in rows["counts"]]).astype(np.float64)
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]  # exact below 2^53
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "totals": [t.tobytes() for t in np.split(totals, cuts)]})
+        return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "totals": [squeeze(t) for t in np.split(totals, cuts)]})
 
     return asked.groupBy("bucket").applyInPandas(count, "block long, bucket long, totals binary")
 
@@ -197,7 +216,7 @@ def document_scores(docs: DataFrame, order: int = ORDER, block_chars: int = BLOC
         for row in held.itertuples():
             b = Block(row.lengths, row.words, row.vocabulary, order, buckets)
             parts = told.sort_values("bucket")["totals"]
-            totals = np.frombuffer(b"".join(parts), dtype=np.int64)
+            totals = np.concatenate([np.zeros(0, np.int64), *(unsqueeze(t, np.int64) for t in parts)])
             micro, longest, unseen = b.scores(totals, corpus_words)
             ids = pd.arrays.IntegerArray(np.frombuffer(row.doc_ids, np.int64).copy(), ~np.frombuffer(row.has_id, bool))
             out.append(pd.DataFrame({"doc_id": ids, "n_words": b.lengths, "score_micro": micro, "n_longest": longest, "n_unseen": unseen}))

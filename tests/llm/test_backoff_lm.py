@@ -1,7 +1,10 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from strata.llm import backoff_lm as B
 
@@ -61,7 +64,16 @@ def test_blocks_are_bounded_and_hold_every_row(spark):
 def test_a_common_gram_is_one_entry_a_block(spark):
     df = spark.createDataFrame([(i, "the same words", 1, "x") for i in range(300)], COLUMNS).coalesce(1)
     asked = B.requests(B.blocks_of(df, 1000), 2, 4).collect()
-    assert sum(len(r["keys"]) // 8 for r in asked) == 5 * len({r["block"] for r in asked})
+    assert sum(len(B.unsqueeze_sorted(r["keys"])) for r in asked) == 5 * len({r["block"] for r in asked})
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50), st.lists(st.integers(-(2**63), 2**63 - 1), max_size=50))
+def test_squeezing_loses_nothing(keys, numbers):
+    keys = np.unique(np.array(keys, dtype=np.uint64))
+    assert (B.unsqueeze_sorted(B.squeeze_sorted(keys)) == keys).all()
+    for dtype in (np.int64, np.uint32):
+        values = np.array(numbers, dtype=np.int64).astype(dtype)
+        assert B.unsqueeze(B.squeeze(values), dtype).tolist() == values.tolist()
 
 
 def test_edges(spark):
