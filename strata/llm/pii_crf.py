@@ -12,8 +12,8 @@ e-mail, ip, card and phone; its potentials are
   the same text without case, or the same digits), which draws both to one label.
 
 All are trained here from tokens of documents that hold base spans, where the
-base spans are the labels: at most ``TRAIN_DOCS`` documents, those whose ids
-have the smallest hashes.  Tokens under a base span are observed; loopy
+base spans are the labels: at most ``TRAIN_DOCS`` documents, those whose hash
+falls below the share that makes nine tenths of that number.  Tokens under a base span are observed; loopy
 message passing spreads their labels along both kinds of edges through the
 document, and a token is added where the belief in a label reaches ``BELIEF``.
 A document without base spans has nothing to be consistent with and gets none.
@@ -256,17 +256,19 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     """The model from a bounded sample of the documents that hold base spans."""
     candidates = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    schema = pa.schema([("h", pa.int64()), ("labels", pa.list_(pa.int64())), ("features", pa.list_(pa.list_(pa.int64()))), ("chain", pa.list_(pa.list_(pa.int64()))), ("skip", pa.list_(pa.list_(pa.int64())))])
+    share = 0.9 * train_docs / max(candidates.count(), 1)
+    sample = candidates.where(F.shiftrightunsigned("h", 12) / float(1 << 52) < share)
+    schema = pa.schema([("labels", pa.list_(pa.int64())), ("features", pa.list_(pa.list_(pa.int64()))), ("chain", pa.list_(pa.list_(pa.int64()))), ("skip", pa.list_(pa.list_(pa.int64())))])
 
     def kernel(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for h, text in rows:
+        for (text,) in rows:
             base = base_spans(text)
             if base:
                 t = tokens_of(text, base)
-                yield h, t.labels.tolist(), t.features, t.chain, t.skip
+                yield t.labels.tolist(), t.features, t.chain, t.skip
 
-    shapes = candidates.orderBy("h").limit(train_docs).mapInArrow(map_rows(kernel, ["h", "text"], schema, 256), "h long, labels array<long>, features array<array<long>>, chain array<array<long>>, skip array<array<long>>")
-    rows = shapes.collect()
+    shapes = sample.select("text").mapInArrow(map_rows(kernel, ["text"], schema, 256), "labels array<long>, features array<array<long>>, chain array<array<long>>, skip array<array<long>>")
+    rows = shapes.limit(train_docs).collect()
     return train([Tokens([], r["features"], np.array(r["labels"], dtype=np.int64), r["chain"], r["skip"]) for r in rows]) if rows else None
 
 
