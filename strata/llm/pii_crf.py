@@ -12,8 +12,8 @@ e-mail, ip, card and phone; its potentials are
   the same text without case, or the same digits), which draws both to one label.
 
 All are trained here from tokens of documents that hold base spans, where the
-base spans are the labels: at most ``TRAIN_DOCS`` documents, those whose hash
-falls below the share that makes nine tenths of that number.  Tokens under a base span are observed; loopy
+base spans are the labels: all such documents, or the ``TRAIN_DOCS`` of them
+with the smallest hashes.  The patterns run over all texts to find them.  Tokens under a base span are observed; loopy
 message passing spreads their labels along both kinds of edges through the
 document, and a token is added where the belief in a label reaches ``BELIEF``.
 A document without base spans has nothing to be consistent with and gets none.
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows
+from strata.llm.common import map_rows, stored
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 2000
@@ -253,22 +253,44 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], s[2])))
 
 
+def _drawn(marks: DataFrame, train_docs: int) -> int | None:
+    """The hash up to which the first ``train_docs`` of the labelled documents
+    lie; None if there are no more than that.  ``marks`` holds their hashes,
+    stored; a share of them is sorted that is doubled until it is enough."""
+    total = marks.count()
+    share = 1.2 * train_docs / max(total, 1)
+    while total > train_docs:
+        first = marks.where(F.col("h") < share * (1 << 52)).orderBy("h").limit(train_docs).collect()
+        if len(first) == train_docs:
+            return first[-1]["h"]
+        share *= 2
+    return None
+
+
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
-    """The model from a bounded sample of the documents that hold base spans."""
-    candidates = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    share = 0.9 * train_docs / max(candidates.count(), 1)
-    sample = candidates.where(F.shiftrightunsigned("h", 12) / float(1 << 52) < share)
-    schema = pa.schema([("labels", pa.list_(pa.int64())), ("features", pa.list_(pa.list_(pa.int64()))), ("chain", pa.list_(pa.list_(pa.int64()))), ("skip", pa.list_(pa.list_(pa.int64())))])
+    """The model from the documents that hold base spans, ``train_docs`` at
+    most; None only if there is no such document."""
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 12).alias("h")
+    candidates = docs.where(F.col("text").rlike("[0-9@]")).select(hashed, "text")
+    schema = pa.schema([("h", pa.int64()), ("labels", pa.list_(pa.int64())), ("features", pa.list_(pa.list_(pa.int64()))), ("chain", pa.list_(pa.list_(pa.int64()))), ("skip", pa.list_(pa.list_(pa.int64())))])
+
+    def marked(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for h, text in rows:
+            if base_spans(text):
+                yield (h,)
 
     def kernel(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for (text,) in rows:
+        for h, text in rows:
             base = base_spans(text)
             if base:
                 t = tokens_of(text, base)
-                yield t.labels.tolist(), t.features, t.chain, t.skip
+                yield h, t.labels.tolist(), t.features, t.chain, t.skip
 
-    shapes = sample.select("text").mapInArrow(map_rows(kernel, ["text"], schema, 256), "labels array<long>, features array<array<long>>, chain array<array<long>>, skip array<array<long>>")
-    rows = shapes.limit(train_docs).collect()
+    marks = candidates.mapInArrow(map_rows(marked, ["h", "text"], pa.schema([("h", pa.int64())])), "h long")
+    last = _drawn(stored(marks, "pii-labelled"), train_docs)
+    sample = candidates if last is None else candidates.where(F.col("h") <= last)
+    shapes = sample.mapInArrow(map_rows(kernel, ["h", "text"], schema, 256), "h long, labels array<long>, features array<array<long>>, chain array<array<long>>, skip array<array<long>>")
+    rows = sorted(shapes.orderBy("h").limit(train_docs).collect(), key=lambda r: r["h"])
     return train([Tokens([], r["features"], np.array(r["labels"], dtype=np.int64), r["chain"], r["skip"]) for r in rows]) if rows else None
 
 

@@ -117,3 +117,23 @@ def test_empty_and_without_personal_data(spark):
     clean = spark.createDataFrame([(1, "no data here"), (2, "3 apples")], "doc_id long, text string")
     assert P.fit(clean) is None
     assert [r["spans"] for r in P.find(clean, P.fit(clean)).collect()] == [[], []]
+
+
+def test_rare_personal_data_still_trains(spark):
+    """Years make nearly every text a candidate; the few that hold base spans train all the same."""
+    rows = [(i, f"written in {1900 + i % 100}, version {i}") for i in range(4000)]
+    rows += [(5000 + i, f"write x{i}@mail.example.com or call +1 (551) 555-08{i:02d}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+
+    def note(sample, real=P.train):
+        seen.append(len(sample))
+        return real(sample)
+
+    P.train, real = note, P.train
+    try:
+        assert P.fit(docs, 20) is not None and P.fit(docs, 5) is not None
+        assert P.fit(docs.unionAll(docs.where("doc_id = 5003").crossJoin(spark.range(50)).drop("id")), 10) is not None
+    finally:
+        P.train = real
+    assert seen == [12, 5, 10]
