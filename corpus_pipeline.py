@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: the corpus pipeline.
 
 Each stage calls one operator on all that its predecessor kept.  All but the
-last return the columns of ``documents``; the last returns the packed pieces.
+last return the columns of ``documents``; the last returns the packed pieces
+with their ids, from which ``packing.sequences`` builds the sequences.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, tokenizer_file("word_bpe_49k.json"), with_ids=False).drop("ids")
+    return pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]

@@ -22,6 +22,7 @@ import random
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -78,7 +79,8 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, with_ids: bool = True, seed: int = 11) -> DataFrame:
-    """Each document's pieces of at most ``sequence`` ids, with their place in the deal."""
+    """Each document's pieces of at most ``sequence`` ids, with their place in
+    the deal; ids are in the encoder's narrow type, the checksum is of uint32."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
         ("doc_tokens", pa.int64()), ("place", pa.int64()), ("ids", pa.binary()),
@@ -86,13 +88,16 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQ
 
     def kernel(rows: Iterator[tuple]) -> Iterator[tuple]:
         encoder = shared_encoder(tokenizer, False)
-        end = end_id.to_bytes(encoder.dtype.itemsize, "little")
+        width = encoder.dtype.itemsize
+        end = end_id.to_bytes(width, "little")
         deal = random.Random(f"{seed}:{TaskContext.get().partitionId()}")
         for doc_id, ids in encoder.encode_rows(rows):
-            ids = encoder.widen(ids + end)
-            for start in range(0, len(ids), sequence):
-                part = ids[start : start + sequence].tobytes()
-                yield doc_id, start, len(part) // 4, zlib.crc32(part), len(ids), deal.getrandbits(62), part if with_ids else None
+            ids += end
+            total = len(ids) // width
+            for start in range(0, total, sequence):
+                part = ids[start * width : (start + sequence) * width]
+                crc = zlib.crc32(encoder.widen(part).tobytes())
+                yield doc_id, start, len(part) // width, crc, total, deal.getrandbits(62), part if with_ids else None
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(map_rows(kernel, ["doc_id", "text"], schema, 1024), PIECE)
@@ -100,7 +105,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQ
 
 def pack(parts: DataFrame, sequence: int = SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """``parts`` (columns ``length`` and ``place``, and any others) with
-    ``sequence_id`` and ``offset``.  ``parts`` must be stored, not recomputed."""
+    ``sequence_id`` and ``offset``; ``ids``, if there, are widened to uint32.
+    ``parts`` must be stored, not recomputed."""
     total = parts.agg(F.sum("length")).first()[0] or 0
     groups = max(1, math.ceil(total / group_tokens))
     kept = [f for f in parts.schema.fields if f.name != "place"]
@@ -111,6 +117,8 @@ def pack(parts: DataFrame, sequence: int = SEQUENCE, group_tokens: int = GROUP_T
         placed = first_fit_decreasing(group["length"].tolist(), sequence)
         group["sequence_id"] = [key[0] * _BINS + b for b, _ in placed]
         group["offset"] = [at for _, at in placed]
+        if "ids" in group:
+            group["ids"] = [np.frombuffer(i, dtype=f"<u{len(i) // n}").astype("<u4").tobytes() for i, n in zip(group["ids"], group["length"])]
         return group.drop(columns=["place", "group"])
 
     return parts.withColumn("group", F.pmod("place", F.lit(groups))).groupBy("group").applyInPandas(fill, schema)
@@ -119,7 +127,7 @@ def pack(parts: DataFrame, sequence: int = SEQUENCE, group_tokens: int = GROUP_T
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, group_tokens: int = GROUP_TOKENS, with_ids: bool = True) -> DataFrame:
     """One row a piece; with ``with_ids`` its ids as little-endian uint32."""
     parts = pieces(docs, tokenizer, end_id, sequence, with_ids)
-    return pack(stored(parts if with_ids else parts.drop("ids"), "pieces"), sequence, group_tokens)
+    return pack(stored(parts if with_ids else parts.drop("ids"), "pieces", compression="zstd"), sequence, group_tokens)
 
 
 def sequences(packed: DataFrame, sequence: int = SEQUENCE) -> DataFrame:

@@ -4,10 +4,11 @@ from collections import defaultdict
 
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import packing as P
-from strata.llm.queries import tokenizer_file
+from strata.llm.queries import q_packing, tokenizer_file
 
 FILE = tokenizer_file("word_bpe_49k.json")
 
@@ -84,3 +85,15 @@ def test_little_padding(spark):
 def test_empty(no_docs):
     out = P.pack_documents(no_docs, FILE)
     assert out.collect() == [] and "sequence_id" in out.columns
+
+
+def test_the_query_reads_the_packed_ids(spark, tmp_root, docs, monkeypatch):
+    """An error in carrying ids with their piece shows in length and checksum."""
+    docs.select("doc_id", "text").write.parquet(f"{tmp_root}/documents.parquet")
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    want = sorted(map(str, P.pack_documents(docs, FILE).select(*columns).collect()))
+    assert sorted(map(str, q_packing(spark, tmp_root).select(*columns).collect())) == want
+    real = P.pack_documents
+    monkeypatch.setattr(P, "pack_documents", lambda *a, **k: real(*a, **k).withColumn("ids", F.unhex(F.lit("0500000006000000"))))
+    ids = (5).to_bytes(4, "little") + (6).to_bytes(4, "little")
+    assert {(r["length"], r["ids_crc32"]) for r in q_packing(spark, tmp_root).collect()} == {(2, zlib.crc32(ids))}

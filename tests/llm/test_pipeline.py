@@ -3,11 +3,13 @@
 from collections import Counter, defaultdict
 
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
 from strata.config import scratch_path
-from strata.llm import mixing, quality_rules
+from strata.llm import mixing, packing, quality_rules
+from strata.llm.queries import tokenizer_file
 from tests.llm.test_line_dedup import brute as without_boilerplate
 from tests.llm.test_mixing import uniform, water
 from tests.llm.test_quality_rules import verdicts
@@ -66,3 +68,14 @@ def test_run_and_registration(spark, tmp_root, docs):
 def test_empty(spark, tmp_root, no_docs):
     no_docs.write.parquet(f"{tmp_root}/documents.parquet")
     assert corpus_pipeline.run(spark, tmp_root).count() == 0
+
+
+def test_sequences_come_from_the_result(spark, outputs):
+    """The pieces kept by the last stage hold the ids of every mixed document."""
+    encode = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json")).encode
+    want = Counter(i for r in outputs[4].collect() for i in [*encode(r["text"] or "", add_special_tokens=False).ids, 2])
+    got = Counter()
+    for r in packing.sequences(outputs[5]).collect():
+        assert len(r["ids"]) == 4 * r["length"] <= 4 * packing.SEQUENCE
+        got.update(int.from_bytes(r["ids"][k : k + 4], "little") for k in range(0, len(r["ids"]), 4))
+    assert got == want
