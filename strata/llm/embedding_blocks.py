@@ -1,5 +1,8 @@
 """Embedding near-duplicates by a subspace pigeonhole join.
 
+Vectors of each length are joined with each other, so the length is part of
+every key below; its rotation, blocks and budgets are its own.
+
 For unit vectors, cosine >= t is a squared distance <= 2 - 2t.  The vectors are
 rotated (a fixed random orthogonal matrix spreads their energy) and split into
 ``blocks`` of few dimensions.  A linked pair must lie, in at least one block,
@@ -18,15 +21,17 @@ At this similarity a block's radius is close to the spread of unstructured
 vectors, so for these the slabs prune little and the number of chunk pairs
 grows with the square of a slab; vectors with structure prune more.
 
-Cases: vectors that are null, zero, of another dimension than ``dims``, or hold
-null or non-finite components link with nothing and have their own row; rows
-that repeat a vec_id are vectors of their own and share the result row of
+Cases: vectors that are null, zero, or hold null or non-finite components link
+with nothing and have their own row; so do those of another length than
+``dims`` where that is given; a length below ``blocks`` has a block for each
+dimension; rows that repeat a vec_id are vectors of their own and share the result row of
 their id (a link between them counts); ties need no rule; an empty table gives
 an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -44,12 +49,14 @@ CHUNK = 8192
 _SLACK = 1e-5
 
 
+@functools.lru_cache(maxsize=8)
 def rotation(dims: int, seed: int = 7) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))
     return q * np.sign(np.diag(r))
 
 
 def _edges(dims: int, blocks: int) -> list[tuple[int, int]]:
+    blocks = min(blocks, dims)
     at = [round(i * dims / blocks) for i in range(blocks + 1)]
     return list(zip(at, at[1:]))
 
@@ -65,52 +72,52 @@ def unit(values: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
-def usable_rows(embedding: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and float64 values of the vectors that can link."""
-    rows, values = [], []
+def usable_rows(embedding: pa.Array, dims: int | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and float64 values of the vectors that can link, by length
+    (of length ``dims`` only, if given)."""
+    found: dict[int, tuple[list[int], list[np.ndarray]]] = {}
     for i, v in enumerate(embedding.to_pylist()):
-        if v is not None and len(v) == dims and None not in v:
+        if v and len(v) == (dims or len(v)) and None not in v:
             a = np.array(v, dtype=np.float64)
             if np.isfinite(a).all() and a.any():
+                rows, values = found.setdefault(len(v), ([], []))
                 rows.append(i)
                 values.append(a)
-    return np.array(rows, dtype=np.int64), np.array(values).reshape(-1, dims)
+    return {n: (np.array(rows, dtype=np.int64), np.array(values)) for n, (rows, values) in found.items()}
 
 
-def vector_slabs(vectors: DataFrame, dims: int, threshold: float, blocks: int) -> DataFrame:
-    """``(vec_id, vector, slabs)``: usable vectors, and the slab in each block."""
-    schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.binary()), ("deal", pa.int64()), ("slabs", pa.list_(pa.int32()))])
+def vector_slabs(vectors: DataFrame, dims: int | None, threshold: float, blocks: int) -> DataFrame:
+    """``(vec_id, dims, vector, deal, slabs)``: usable vectors, and the slab in each block."""
+    schema = pa.schema([("vec_id", pa.int64()), ("dims", pa.int32()), ("vector", pa.binary()), ("deal", pa.int64()), ("slabs", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, lead = rotation(dims), [a for a, _ in _edges(dims, blocks)]
-        width = np.sqrt(np.array(budgets(dims, blocks, threshold)) + _SLACK)
         for batch in batches:
-            rows, values = usable_rows(batch.column("embedding"), dims)
-            if not len(rows):
-                continue
-            places = np.floor((unit(values) @ turn)[:, lead] / width).astype(int)
-            take = lambda n: batch.column(n).take(pa.array(rows))  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays(
-                [take("vec_id"), pa.array([v.tobytes() for v in values], pa.binary()), take("deal"), pa.array(places.tolist(), pa.list_(pa.int32()))],
-                schema=schema,
-            )
+            for n, (rows, values) in usable_rows(batch.column("embedding"), dims).items():
+                lead = [a for a, _ in _edges(n, blocks)]
+                width = np.sqrt(np.array(budgets(n, blocks, threshold)) + _SLACK)
+                places = np.floor((unit(values) @ rotation(n))[:, lead] / width).astype(int)
+                take = lambda c: batch.column(c).take(pa.array(rows))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [take("vec_id"), pa.array([n] * len(rows), pa.int32()), pa.array([v.tobytes() for v in values], pa.binary()), take("deal"), pa.array(places.tolist(), pa.list_(pa.int32()))],
+                    schema=schema,
+                )
 
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.monotonically_increasing_id().alias("deal"))
-    return source.mapInArrow(run, "vec_id long, vector binary, deal long, slabs array<int>")
+    return source.mapInArrow(run, "vec_id long, dims int, vector binary, deal long, slabs array<int>")
 
 
 def _tiles(placed: DataFrame, chunk: int) -> DataFrame:
     """Every vector once for each tile it takes part in.  ``first`` marks the
     side of the tile; a chunk meets itself, the later chunks of its slab, and
     all chunks of the next slab."""
-    each = placed.select("vec_id", "vector", "deal", F.posexplode("slabs").alias("block", "slab"))
-    # slabs of all blocks: bounded by blocks * 2 / radius, whatever the number of vectors
-    counts = {(r["block"], r["slab"]): math.ceil(r["count"] / chunk) for r in each.groupBy("block", "slab").count().collect()}
-    plan = [(b, s, n, counts.get((b, s - 1), 0), counts.get((b, s + 1), 0)) for (b, s), n in counts.items()]
+    each = placed.select("vec_id", "dims", "vector", "deal", F.posexplode("slabs").alias("block", "slab"))
+    # slabs of all blocks: bounded by blocks * 2 / radius for each length, whatever the number of vectors
+    counts = {(r["dims"], r["block"], r["slab"]): math.ceil(r["count"] / chunk) for r in each.groupBy("dims", "block", "slab").count().collect()}
+    plan = [(d, b, s, n, counts.get((d, b, s - 1), 0), counts.get((d, b, s + 1), 0)) for (d, b, s), n in counts.items()]
     spark = placed.sparkSession
-    sizes = spark.createDataFrame(plan, "block int, slab int, chunks int, chunks_before int, chunks_after int")
+    sizes = spark.createDataFrame(plan, "dims int, block int, slab int, chunks int, chunks_before int, chunks_after int")
     own = F.pmod(F.xxhash64("deal", "block"), F.col("chunks")).cast("int")
-    dealt = each.join(F.broadcast(sizes), ["block", "slab"]).withColumn("own", own)
+    dealt = each.join(F.broadcast(sizes), ["dims", "block", "slab"]).withColumn("own", own)
     tile = lambda s, a, s2, b, first: F.struct(s.alias("slab"), a.alias("a"), s2.alias("slab2"), b.alias("b"), F.lit(first).alias("first"))
     mine, slab = F.col("own"), F.col("slab")
     many = lambda n, f: F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), f)
@@ -118,8 +125,8 @@ def _tiles(placed: DataFrame, chunk: int) -> DataFrame:
     later = many(mine, lambda i: tile(slab, i, slab, mine, False))
     ahead = many(F.col("chunks_after"), lambda j: tile(slab, mine, slab + 1, j, True))
     behind = many(F.col("chunks_before"), lambda j: tile(slab - 1, j, slab, mine, False))
-    return dealt.select("vec_id", "vector", "deal", "block", F.explode(F.concat(within, later, ahead, behind)).alias("t")).select(
-        "vec_id", "vector", "deal", "block", "t.*"
+    return dealt.select("vec_id", "dims", "vector", "deal", "block", F.explode(F.concat(within, later, ahead, behind)).alias("t")).select(
+        "vec_id", "dims", "vector", "deal", "block", "t.*"
     )
 
 
@@ -172,16 +179,17 @@ def _join(low: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return parent[low]
 
 
-def compare_tiles(tiles: DataFrame, dims: int, blocks: int, threshold: float) -> DataFrame:
-    """``(vec_id, links, root)``: for each vector of a tile that has links there."""
+def compare_tiles(tiles: DataFrame, dims: int | None, blocks: int, threshold: float) -> DataFrame:
+    """``(vec_id, links, root)``: for each vector of a tile that has links there;
+    tiles of vectors of length ``dims`` only, if given."""
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        block, slab, a, slab2, b = map(int, key)
+        n, block, slab, a, slab2, b = map(int, key)
         same = (slab, a) == (slab2, b)
         rows = rows.sort_values("vec_id", kind="stable")
         first = rows["first"].to_numpy(bool)
         ids = rows["vec_id"].to_numpy(np.int64)
-        values = np.frombuffer(b"".join(rows["vector"]), dtype=np.float64).reshape(-1, dims)
+        values = np.frombuffer(b"".join(rows["vector"]), dtype=np.float64).reshape(-1, n)
         li, ri = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(first), np.flatnonzero(~first))
         links = np.zeros(len(ids), dtype=np.int64)
         low = np.arange(len(ids))
@@ -194,11 +202,13 @@ def compare_tiles(tiles: DataFrame, dims: int, blocks: int, threshold: float) ->
         some = links > 0
         return pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[low][some]})
 
-    return tiles.groupBy("block", "slab", "a", "slab2", "b").applyInPandas(compare, "vec_id long, links long, root long")
+    chosen = tiles if dims is None else tiles.where(F.col("dims") == dims)
+    return chosen.groupBy("dims", "block", "slab", "a", "slab2", "b").applyInPandas(compare, "vec_id long, links long, root long")
 
 
-def near_duplicates(vectors: DataFrame, dims: int = 64, threshold: float = THRESHOLD, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """``(vec_id, n_links, component_id)`` for every row of ``vectors`` with columns vec_id, embedding."""
+def near_duplicates(vectors: DataFrame, dims: int | None = None, threshold: float = THRESHOLD, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
+    """``(vec_id, n_links, component_id)`` for every row of ``vectors`` with columns vec_id, embedding;
+    vectors of every length are compared, or of length ``dims`` only."""
     placed = stored(vector_slabs(vectors, dims, threshold, blocks), "embedding-slabs")
     found = stored(compare_tiles(_tiles(placed, chunk), dims, blocks, threshold), "embedding-links")
     links = found.groupBy("vec_id").agg(F.sum("links").alias("n"))

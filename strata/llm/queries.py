@@ -109,9 +109,7 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_embedding_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    usual = vectors.where("embedding IS NOT NULL").groupBy(F.size("embedding").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    found = embedding_blocks.near_duplicates(vectors, dims=usual["dims"] if usual else 1)
+    found = embedding_blocks.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from strata.llm import embedding_blocks as E
+from strata.llm.queries import q_embedding_blocks
 
 SCHEMA = "vec_id long, embedding array<float>, label int, block int, slab int"
 
@@ -75,3 +76,20 @@ def test_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1, 2, 3), (1, [1.0, 0.0], 1, 2, 3), (2, [0.0, 1.0], 1, 2, 3)], SCHEMA)
     assert sorted(tuple(r) for r in E.near_duplicates(df, 2, blocks=2).collect()) == [(1, 2, 1), (1, 2, 1), (2, 0, 2)]
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA), 4).collect() == []
+
+
+def test_each_length_is_joined_with_itself(spark, tmp_root):
+    rows, want = [], {}
+    for seed, (dims, n) in enumerate(((16, 264), (24, 90), (3, 40), (2, 25), (1, 6))):
+        at = 1000 * (seed + 1)
+        some = [(at + i, v) for i, v in vectors(seed, dims)[-n:]]
+        rows += some
+        want |= brute(some, 0.9, dims)
+    rows += odd(9000, 5)[:1] + odd(9000, 5)[1:2] + odd(9000, 5)[3:]
+    want |= {i: (0, i) for i in (9000, 9001, 9003, 9004, 9005, 9006)}
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA).repartition(4)
+    df.write.parquet(f"{tmp_root}/embeddings.parquet")
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.near_duplicates(df, chunk=20).collect()} == want
+    got = q_embedding_blocks(spark, tmp_root).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == want and len(got) == len(rows)
+    assert sum(want[i][0] > 0 for i in want if 2000 <= i < 3000) > 20  # the second length has links of its own
