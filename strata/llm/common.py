@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.config import scratch_path
@@ -58,6 +58,36 @@ def unit_interval(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
+def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    """Null-safe equality of columns that are named alike on the left and, with ``__`` before, on the right."""
+    together = F.lit(True)
+    for n in names:
+        together = together & left[n].eqNullSafe(right[f"__{n}"])
+    return together
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """``rows``, stored, with ``position`` (from 0) in their group by ``order``
+    and ``total``, the rows of the group; nulls are a group of their own.
+
+    The rows are sorted by ranges, so a group that holds a third of them takes
+    a third of the tasks; only counts by task and group are summed up.  Rows
+    equal in ``order`` are parted by their place in the input, so that repeated
+    rows don't meet in one task either.
+    """
+    keys = [*(F.col(g).asc_nulls_first() for g in group), *order, F.col("__nth").asc()]
+    dealt = rows.withColumn("__nth", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stored(dealt.drop("__nth").withColumn("__row", F.monotonically_increasing_id()), name, compression="zstd")
+    task = F.shiftright("__row", 33)  # where the id of a row has its task
+    runs = placed.groupBy(task.alias("__task"), *group).agg(F.min("__row").alias("__from"), F.count("*").alias("__n"))
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__from")
+    runs = runs.select("__task", *(F.col(g).alias(f"__{g}") for g in group), offset.alias("__offset"), F.sum("__n").over(whole).alias("total"))
+    joined = placed.join(runs, (task == runs["__task"]) & same(placed, runs, *group))
+    return joined.select(*rows.columns, (F.col("__row") + F.col("__offset")).alias("position"), "total")
+
+
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of an undirected graph given as ``(u, v)`` longs.
 

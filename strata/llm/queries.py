@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import scratch_path
-from strata.llm import backoff_lm, chat_trees, embedding_blocks, line_dedup, mixing, packing, pii_crf, quality_rules, simhash_index, token_records
+from strata.llm import backoff_lm, chat_trees, embedding_blocks, line_dedup, mixing, packing, pii_crf, quality_rules, queries_audit, simhash_index, token_records
 from strata.llm.common import map_rows, stored, table
 
 
@@ -124,7 +124,7 @@ QUERIES = {
     "op8_simhash_index": q_simhash_index,
     "op9_packing": q_packing,
     "op10_embedding_blocks": q_embedding_blocks,
-}
+} | queries_audit.QUERIES
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -251,4 +251,4 @@ m AS (SELECT node, min(reach) AS low FROM r GROUP BY node), n AS (SELECT u, coun
 SELECT vec_id, coalesce(links, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
 FROM embeddings LEFT JOIN m ON node = vec_id LEFT JOIN n ON u = vec_id
 """,
-}
+} | queries_audit.ORACLE_SQL
