@@ -66,26 +66,30 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return together
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """``rows``, stored, with ``position`` (from 0) in their group by ``order``
-    and ``total``, the rows of the group; nulls are a group of their own.
+def dealt(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """``rows`` sorted by ranges of ``group`` and ``order`` and stored, with a
+    unique ``row_id`` that ascends with the sort inside a task.
 
-    The rows are sorted by ranges, so a group that holds a third of them takes
-    a third of the tasks; only counts by task and group are summed up.  Rows
+    A group that holds a third of the rows takes a third of the tasks.  Rows
     equal in ``order`` are parted by their place in the input, so that repeated
-    rows don't meet in one task either.
-    """
+    rows don't meet in one task either."""
     keys = [*(F.col(g).asc_nulls_first() for g in group), *order, F.col("__nth").asc()]
-    dealt = rows.withColumn("__nth", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = stored(dealt.drop("__nth").withColumn("__row", F.monotonically_increasing_id()), name, compression="zstd")
-    task = F.shiftright("__row", 33)  # where the id of a row has its task
-    runs = placed.groupBy(task.alias("__task"), *group).agg(F.min("__row").alias("__from"), F.count("*").alias("__n"))
+    spread = rows.withColumn("__nth", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return stored(spread.drop("__nth").withColumn("row_id", F.monotonically_increasing_id()), name, compression="zstd")
+
+
+def positions(placed: DataFrame, group: list[str]) -> DataFrame:
+    """``placed`` (of ``dealt``) with ``position`` (from 0) in their group and
+    ``total``, the group's rows; nulls are a group of their own.  Only counts
+    by task and group are summed up."""
+    task = F.shiftright("row_id", 33)  # where the id of a row has its task
+    runs = placed.groupBy(task.alias("__task"), *group).agg(F.min("row_id").alias("__from"), F.count("*").alias("__n"))
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__from")
     runs = runs.select("__task", *(F.col(g).alias(f"__{g}") for g in group), offset.alias("__offset"), F.sum("__n").over(whole).alias("total"))
     joined = placed.join(runs, (task == runs["__task"]) & same(placed, runs, *group))
-    return joined.select(*rows.columns, (F.col("__row") + F.col("__offset")).alias("position"), "total")
+    return joined.select(*placed.columns, (F.col("row_id") + F.col("__offset")).alias("position"), "total")
 
 
 def connected_components(edges: DataFrame, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ nodes of the next round, so a round is one grouping of bounded blocks and a
 hundred thousand million leaves take five.  On the way back each block hands
 its members the segments of its own levels and those of the rounds above.
 
-Positions come from a sort by ranges (``numbered``), so a source with a third
+Positions come from a sort by ranges (``common.dealt``), so a source with a third
 of all rows is spread over tasks, and texts never leave the task that reads
 them: only digests and ids are shuffled.
 
@@ -34,7 +34,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import numbered, same, stored
+from strata.llm.common import dealt, positions, same, stored
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 WIDTH = 64  # hex digits of a digest
@@ -142,7 +142,7 @@ def build(docs: DataFrame, columns: Sequence[str] = COLUMNS, key: str = "doc_id"
     expressions over ``docs``, that go along with the leaves."""
     carried = F.struct(F.col(key).alias("doc_id"), *(c.alias(n) for n, c in (carry or {}).items()))
     leaves = docs.select(F.col(source).alias("source"), leaf([F.col(c) for c in columns]).alias("node"), carried.alias("carried"))
-    placed = numbered(leaves, ["source"], [F.col("carried.doc_id").asc_nulls_first(), F.col("node").asc()], "merkle-leaves")
+    placed = positions(dealt(leaves, ["source"], [F.col("carried.doc_id").asc_nulls_first(), F.col("node").asc()], "merkle-leaves"), ["source"])
     rounds = _climb(placed, ["source"], "merkle")
 
     last = [b.where(F.col("total") <= BLOCK).select("source", F.col("top").alias("node")) for b in rounds]
@@ -150,7 +150,7 @@ def build(docs: DataFrame, columns: Sequence[str] = COLUMNS, key: str = "doc_id"
     for more in last[1:]:
         subroots = subroots.unionByName(more)
     subroots = subroots.select("source", "node", F.struct("source").alias("carried"))
-    above = _climb(numbered(subroots, [], [F.col("source").asc_nulls_first()], "merkle-sources"), [], "merkle-root")
+    above = _climb(positions(dealt(subroots, [], [F.col("source").asc_nulls_first()], "merkle-sources"), []), [], "merkle-root")
     ends = stored(_descend(above, [], None).select("carried.source", F.col("node").alias("subroot"), "proof", "root"), "merkle-ends")
 
     out = _descend(rounds, ["source"], ends).select("carried.*", "source", "position", F.col("node").alias("leaf"), "proof", "subroot", "root")
