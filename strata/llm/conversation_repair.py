@@ -161,9 +161,9 @@ _EDITED = pa.schema([
 
 
 def _parse_segments(rows: Iterator[tuple]) -> Iterator[tuple]:
-    for conv_id, segment, total, initials, faults, row_ids in rows:
+    for conv_id, segment, alone, initials, faults, row_ids in rows:
         ways = []
-        for first in STACKS if total > SEGMENT else (0,):
+        for first in (0,) if alone else STACKS:
             ways += [{"first": first, "last": t, "cost": c, "audit": a} for t, (c, a) in parse({first: (0, "")}, initials, faults).items()]
         yield conv_id, segment, initials, row_ids, ways
 
@@ -201,7 +201,7 @@ def _join_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield to_batch(out, _EDITED)
 
 
-def repair(conversations: DataFrame) -> Repair:
+def repair(conversations: DataFrame, segment: int = SEGMENT) -> Repair:
     """Reports and repaired turns of a table ``conv_id, turn, role, text``."""
     space = F.lit(" ")
     rows = conversations.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"))
@@ -223,11 +223,11 @@ def repair(conversations: DataFrame) -> Repair:
     judged = stored(judged.drop("said", "own"), "conversation-faults", compression="zstd")
 
     member = F.struct("position", "initial", "fault", "row_id")
-    segments = judged.groupBy("conv_id", "total", F.floor(F.col("position") / SEGMENT).alias("segment")).agg(F.sort_array(F.collect_list(member)).alias("m"))
+    segments = judged.groupBy("conv_id", "total", F.floor(F.col("position") / segment).alias("segment")).agg(F.sort_array(F.collect_list(member)).alias("m"))
     segments = segments.select(
-        "conv_id", "segment", "total", F.array_join("m.initial", "").alias("initials"), F.array_join("m.fault", "").alias("faults"), F.col("m.row_id").alias("row_ids")
+        "conv_id", "segment", (F.col("total") <= segment).alias("alone"), F.array_join("m.initial", "").alias("initials"), F.array_join("m.fault", "").alias("faults"), F.col("m.row_id").alias("row_ids")
     )
-    names = ["conv_id", "segment", "total", "initials", "faults", "row_ids"]
+    names = ["conv_id", "segment", "alone", "initials", "faults", "row_ids"]
     parsed = segments.mapInArrow(
         map_rows(_parse_segments, names, _PARSED, 256),
         "conv_id long, segment long, initials string, row_ids array<long>, ways array<struct<first:int,last:int,cost:long,audit:string>>",

@@ -1,0 +1,80 @@
+"""Windows of the benchmark in documents, against comparing all of them."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import decontamination as D
+from tests.llm.conftest import DOCUMENTS
+
+ITEMS = "item_id long, text string"
+WORD = re.compile(r"[0-9a-z\u0080-\U0010ffff]+")
+
+
+def split(text):
+    return WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def expected(text, items, span):
+    words, hit, found = split(text), set(), set()
+    for item_id, item in items:
+        own = split(item)
+        n = min(span, len(own))
+        if not n:
+            continue
+        windows = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                hit |= set(range(i, i + n))
+                found.add("null" if item_id is None else str(item_id))
+    return len(words), len(hit), sorted(found)
+
+
+@pytest.fixture(scope="module")
+def items(rows):
+    rng = random.Random(2)
+    texts = [r[1] for r in rows if r[1] and len(r[1].split()) > 25]
+    cut = lambda n: " ".join((w := rng.choice(texts).split())[(k := rng.randrange(len(w) - 24)) : k + n])
+    out = [(i, cut(rng.choice([10, 11, 24]))) for i in range(25)]
+    out += [(50, None), (51, ""), (52, "!?"), (53, cut(3)), (54, cut(9)), (55, "absent words here"), (56, cut(1)), (57, "Ünïcode FOOTER — ça VA")]
+    return out + [(60, out[3][1]), out[4], (None, out[5][1].upper()), (61, " ".join(["aba"] * 14))]
+
+
+@pytest.mark.parametrize("span", [10, 4])
+def test_against_all_windows(spark, docs, rows, items, span):
+    extra = [(500, "aba " * 40, "en", "x", 1), (501, "x, " + "aba-" * 9, "en", "x", 1)]
+    both = docs.unionByName(spark.createDataFrame(extra, DOCUMENTS), allowMissingColumns=True)
+    out = D.mark(both.withColumn("window", F.lit("w")).withColumn("start", F.lit(3)), spark.createDataFrame(items, ITEMS), span)
+    got = sorted(((r.doc_id, r.text, r["__n_words"], r["__n_hit"], list(r["__items"])) for r in out.collect()), key=repr)
+    want = sorted(((r[0], r[1], *expected(r[1], items, span)) for r in [*rows, *extra]), key=repr)
+    assert got == want
+
+
+def test_every_span_meets_in_a_fingerprint():
+    for span in range(1, 20):
+        k, w = D.gram_and_window(span)
+        assert k + w - 1 == span and k >= 1 and w >= 1
+
+
+def test_spans_and_items_and_filter(spark, docs, rows, items):
+    bench = spark.createDataFrame(items, ITEMS)
+    found = D.find(docs, bench)
+    assert found.items.groupBy(*found.items.columns).count().where("count > 1").count() == 0
+    clean = {(r.doc_id, r.text) for r in D.drop_contaminated(docs, bench).collect()}
+    assert clean == {(r[0], r[1]) for r in rows if not expected(r[1], items, 10)[1]}
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(4)
+    words = [rng.choice("abcdefgh") + rng.choice("abcdefgh") for _ in range(200_000)]
+    items = [(1, " ".join(words[150_000:150_012])), (2, "not in any text of this table at all you see")]
+    out = D.mark(spark.createDataFrame([(1, "  ".join(words))], "doc_id long, text string"), spark.createDataFrame(items, ITEMS)).first()
+    assert (out["__n_words"], out["__n_hit"], list(out["__items"])) == (200_000, 12, ["1"])
+
+
+def test_empty_tables(spark, docs, no_docs, items):
+    bench, none = spark.createDataFrame(items, ITEMS), spark.createDataFrame([], ITEMS)
+    assert D.mark(no_docs, bench).count() == 0
+    assert D.mark(docs, none).where("__n_hit > 0 OR size(__items) > 0").count() == 0
