@@ -26,6 +26,7 @@ from strata.operators._common import RunTs, run_ts_col
 from strata.plans.catalog import add_partitions, ensure_catalog, ensure_table, registered_dimension
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks import layout as L
+from strata.sinks.versioned import is_versioned, merge_versioned
 from strata.sinks.writers import append_by_name, replace_day, write_dimension, write_dimension_table
 from strata.sources.landing import RAW_COLUMNS, read_landing
 from strata.sources.paths import landing_dir
@@ -114,7 +115,9 @@ def scd2_merge(
     ``dt`` is the business day of the run (it names the folder that receives
     the versions this run closes); the default is the staged rows' single
     date, else the date of the run.  Only the current folder and that day's
-    closed folder are read and rewritten; older history is not touched.
+    closed folder are read and rewritten; older history is not touched.  Of a
+    versioned dimension (:mod:`strata.sinks.versioned`) only the parts with a
+    changed or new key are, and the catalog switches to them.
 
     ``buckets=N`` keeps the dimension as a catalog table bucketed by its key
     into N buckets.  A warehouse is either bucketed or not from its first run
@@ -124,6 +127,9 @@ def scd2_merge(
     if registered:
         if not isinstance(target_table, str):
             raise ValueError("a TableSpec needs the root of its warehouse")
+        if is_versioned(spark, target_table):
+            merge_versioned(spark, stg, target_table, key_col, tracked_cols, order_cols, dt or _staged_day(stg, run_ts), run_ts)
+            return
         spec, root = registered_dimension(spark, target_table, key_col, tracked_cols), ""
     else:
         spec = L.table_spec(target_table) if isinstance(target_table, str) else target_table

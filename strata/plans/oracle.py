@@ -416,6 +416,7 @@ WHERE rn = 1
         "pipeline_two_days_bucketed": _pipeline_sql(),
         "fact_orders_by_order_id": with_ctes(_orders_ctes()[:2], fact("stg_orders", "order_id")),
         "pipeline_dim_customer": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
+        "pipeline_dim_versioned": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
         "pipeline_dim_product": with_ctes(_dim_days("products", 3)[0], "SELECT * FROM dim3"),
         "pipeline_default_clock": with_ctes(
             cust_ctes,

@@ -36,6 +36,7 @@ from strata.plans.catalog import create_dimension, drop_registrations
 from strata.plans.daily import DIMENSIONS, ingest_entity, merge_dimension, read_gold, run_day, scd2_merge
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks.layout import FACT_ORDERS, TABLES, in_namespace
+from strata.sinks.versioned import create_versioned_dimension, read_dimension
 from strata.sinks.writers import export_landing
 from strata.sources.landing import read_landing_days
 from strata.sources.tables import read_table
@@ -317,6 +318,26 @@ def q_scd2_suppliers(spark, sf_dir):
     return wall_clock(read_table(spark, spec, root))
 
 
+def q_pipeline_dim_versioned(spark, sf_dir):
+    """The customer dimension kept as a versioned table over three daily
+    merges: each rewrites the key parts it touches and switches them in the
+    catalog; read through the catalog before its entries are dropped again."""
+    ns = f"chk{uuid.uuid4().hex[:12]}"
+    name, out = f"{ns}_silver.dim_customer", scratch_path(spark, "versioned-view")
+    spec = CUSTOMER_DIM_SPEC
+    try:
+        columns = staged(spark, sf_dir, "customers", A.DAY1).select(spec["key"], *spec["tracked"]).schema
+        create_versioned_dimension(spark, name, columns, spec["key"], scratch_path(spark, "versioned"), BUCKETS)
+        for day in (A.DAY1, A.DAY2, A.DAY3):
+            stg = staged(spark, sf_dir, "customers", day)
+            scd2_merge(spark, stg, name, spec["key"], spec["tracked"], spec["order"], dt=day, run_ts=RUNS[day])
+        wall_clock(read_dimension(spark, name)).write.parquet(out)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP DATABASE IF EXISTS {ns}_silver")
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     "standardize_customers": q_standardize_customers,
     "standardize_products": q_standardize_products,
@@ -344,4 +365,5 @@ QUERIES: dict[str, Query] = {
     "pipeline_fact": q_pipeline_fact,
     "pipeline_catalog": q_pipeline_catalog,
     "scd2_suppliers": q_scd2_suppliers,
+    "pipeline_dim_versioned": q_pipeline_dim_versioned,
 }

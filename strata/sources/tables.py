@@ -23,6 +23,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(conf).exists(where)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none where it isn't there."""
+    if not folder_exists(spark, path):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(where)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     """The whole table in its logical schema (storage-only columns dropped)."""
     df = spark.read.schema(spec.storage_schema).parquet(spec.path(root))
@@ -55,4 +64,4 @@ def read_closed(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> Dat
     return read_folder(spark, spec, root, "is_current=false", f"{SCD2_CLOSED_COL}={day}")
 
 
-__all__ = ["folder_exists", "read_closed", "read_current", "read_day", "read_folder", "read_table"]
+__all__ = ["folder_exists", "list_folders", "read_closed", "read_current", "read_day", "read_folder", "read_table"]
