@@ -2,12 +2,14 @@
 
 from strata.operators.dedupe import dedupe_by_key, latest_per_key
 from strata.operators.facts import order_amount, transform_fact_orders
+from strata.operators.history import scd2_history
 from strata.operators.marts import build_daily_product_sales, enrich_sales, top_sales
 from strata.operators.scd2 import (
     Scd2Result,
     add_hash_diff,
     scd2_apply,
     scd2_plan,
+    scd2_plan_sql,
     split_dimension,
     stage_source,
 )
@@ -26,7 +28,9 @@ __all__ = [
     "latest_per_key",
     "order_amount",
     "scd2_apply",
+    "scd2_history",
     "scd2_plan",
+    "scd2_plan_sql",
     "split_dimension",
     "stage_source",
     "standardize_customers",

@@ -133,6 +133,48 @@ def scd2_plan(
     )
 
 
+def scd2_plan_sql(
+    current: DataFrame,
+    stg: DataFrame,
+    key_col: str,
+    tracked_cols: Sequence[str],
+    order_cols: Sequence[str],
+    run_ts: RunTs = None,
+) -> Scd2Result:
+    """:func:`scd2_plan` as SQL text over the two frames.
+
+    ``{current}`` and ``{stg}`` are bound to the frames themselves, not to view
+    names of the session, so any number of merges can be planned side by side."""
+    src = stage_source(stg, key_col, tracked_cols, order_cols).withColumn("_now", run_ts_col(run_ts))
+    q = lambda names: ", ".join(f"`{n}`" for n in names)
+    kept = q([key_col, *tracked_cols, HASH_COL])
+    merged = stg.sparkSession.sql(
+        f"""
+        WITH rows AS (
+          SELECT {kept}, effective_from_ts, effective_to_ts, is_current, ingest_ts, FALSE AS _staged, CAST(NULL AS TIMESTAMP) AS _now FROM {{current}}
+          UNION ALL
+          SELECT {kept}, _now, CAST(NULL AS TIMESTAMP), TRUE, ingest_ts, TRUE, _now FROM {{stg}}
+        ), alone AS (
+          SELECT *, CASE WHEN `{key_col}` IS NULL THEN monotonically_increasing_id() END AS _alone FROM rows
+        ), met AS (
+          SELECT *, max(CASE WHEN _staged THEN `{HASH_COL}` END) OVER k AS _staged_hash, max(_now) OVER k AS _end
+          FROM alone WINDOW k AS (PARTITION BY `{key_col}`, _alone)
+        ), flagged AS (
+          SELECT *, NOT _staged AND coalesce(is_current, FALSE) AS _live, coalesce(`{HASH_COL}` <> _staged_hash, FALSE) AS _differs FROM met
+        ), decided AS (
+          SELECT *, _live AND _differs AS _expire, max(_live AND NOT _differs) OVER (PARTITION BY `{key_col}`, _alone) AS _survives FROM flagged
+        )
+        SELECT {kept}, effective_from_ts, CASE WHEN _expire THEN _end ELSE effective_to_ts END AS effective_to_ts,
+               CASE WHEN _expire THEN FALSE ELSE is_current END AS is_current, ingest_ts,
+               CASE WHEN _staged THEN 'inserted' WHEN _expire THEN 'expired' ELSE 'unchanged' END AS {ACTION}
+        FROM decided WHERE NOT _staged OR NOT _survives
+        """,
+        current=current.select(*dim_columns(key_col, tracked_cols)),
+        stg=src,
+    )
+    return Scd2Result(merged)
+
+
 def split_dimension(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(current rows, all other rows).  A null ``is_current`` is not current."""
     current = dim.where(F.col("is_current"))

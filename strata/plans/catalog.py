@@ -86,17 +86,37 @@ def drop_registrations(spark: SparkSession, ns: str | None = None) -> None:
 def add_partitions(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> None:
     """Show SQL over the catalog table what the run of ``dt`` wrote: only the
     folders of that run are added, nothing is listed."""
-    if spec.is_scd2:
-        folders = [("true", OPEN_CLOSED_DT), ("false", dt)]
-        wanted = [f"(is_current={c}, {SCD2_CLOSED_COL}=DATE'{d}')" for c, d in folders
-                  if folder_exists(spark, f"{spec.path(root)}/is_current={c}/{SCD2_CLOSED_COL}={d}")]
-    else:
-        wanted = [f"(dt=DATE'{dt}')"]
-    for partition in wanted:
+    for partition in _written(spark, spec, root, dt) if spec.is_scd2 else [f"(dt=DATE'{dt}')"]:
         spark.sql(f"ALTER TABLE {spec.qualified_name} ADD IF NOT EXISTS PARTITION {partition}")
     spark.catalog.refreshTable(spec.qualified_name)
 
 
+def _written(spark: SparkSession, spec: TableSpec, root: str, dt: str) -> list[str]:
+    """The partitions that the run of ``dt`` wrote and left rows in."""
+    if not spec.is_scd2:
+        return [f"(dt=DATE'{dt}')"] if folder_exists(spark, f"{spec.path(root)}/dt={dt}") else []
+    folders = [("true", OPEN_CLOSED_DT), ("false", dt)]
+    return [f"(is_current={c}, {SCD2_CLOSED_COL}=DATE'{d}')" for c, d in folders
+            if folder_exists(spark, f"{spec.path(root)}/is_current={c}/{SCD2_CLOSED_COL}={d}")]
+
+
+def analyze_run(spark: SparkSession, specs: Sequence[TableSpec], root: str, dt: str) -> None:
+    """Row counts and sizes of the partitions that the run of ``dt`` wrote, and
+    of the dimensions as a whole.  Nothing else is read: sizes come from file
+    listings, row counts from the run's own partitions."""
+    for spec in specs:
+        for partition in _written(spark, spec, root, dt):
+            spark.sql(f"ANALYZE TABLE {spec.qualified_name} PARTITION {partition} COMPUTE STATISTICS")
+        if spec.is_scd2:
+            spark.sql(f"ANALYZE TABLE {spec.qualified_name} COMPUTE STATISTICS NOSCAN")
+
+
+def analyze_columns(spark: SparkSession, name: str, columns: Sequence[str]) -> None:
+    """Column statistics (distinct counts, nulls, ranges, widths) of a table for
+    the cost-based optimizer; reads the columns of the whole table."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+
+
 def create_dimension(spark: SparkSession, name: str, schema: StructType, key_col: str, root: str) -> TableSpec:
     """Create and register an SCD2 dimension under any ``layer.name``;
     ``schema`` holds the key and the tracked columns."""

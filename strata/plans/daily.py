@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +21,19 @@ from strata.operators import (
     standardize_customers,
     standardize_orders,
     standardize_products,
+    top_sales,
     transform_fact_orders,
 )
 from strata.operators._common import RunTs, run_ts_col
-from strata.plans.catalog import add_partitions, ensure_catalog, ensure_table, registered_dimension
+from strata.plans.catalog import add_partitions, analyze_run, ensure_catalog, ensure_table, registered_dimension
+from strata.plans.together import together
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks import layout as L
 from strata.sinks.versioned import is_versioned, merge_versioned
 from strata.sinks.writers import append_by_name, replace_day, write_dimension, write_dimension_table
 from strata.sources.landing import RAW_COLUMNS, read_landing
 from strata.sources.paths import landing_dir
-from strata.sources.tables import folder_exists, read_closed, read_current, read_day, read_table
+from strata.sources.tables import folder_exists, list_folders, read_closed, read_current, read_day, read_table
 
 BRONZE: tuple[tuple[str, Callable, L.TableSpec], ...] = (
     ("customers", standardize_customers, L.CUSTOMERS_STG),
@@ -68,9 +71,18 @@ def ingest_bronze(
     run_ts: RunTs,
     mode: str = "append",
     ns: str | None = None,
+    side_by_side: bool = True,
 ) -> None:
-    for entity, _, _ in BRONZE:
-        ingest_entity(spark, root, landing_root, entity, dt, run_ts, mode, ns)
+    steps = [partial(ingest_entity, spark, root, landing_root, entity, dt, run_ts, mode, ns) for entity, _, _ in BRONZE]
+    _run(spark, steps, side_by_side)
+
+
+def _run(spark: SparkSession, steps: Sequence[Callable[[], None]], side_by_side: bool) -> None:
+    if side_by_side:
+        together(spark, *steps)
+    else:
+        for step in steps:
+            step()
 
 
 def _target_rows(spark: SparkSession, spec: L.TableSpec, root: str, day: str) -> tuple[DataFrame | None, DataFrame | None]:
@@ -170,7 +182,7 @@ def load_fact(spark: SparkSession, root: str, dt: str, ns: str | None = None) ->
 def load_gold(spark: SparkSession, root: str, dt: str, run_ts: RunTs, ns: str | None = None) -> None:
     fact = read_day(spark, L.in_namespace(L.FACT_ORDERS, ns), root, dt)
     dim = read_current(spark, L.in_namespace(L.DIM_PRODUCT, ns), root)  # by path: bucketing not needed here
-    gold = build_daily_product_sales(fact, dim, run_ts)
+    gold = build_daily_product_sales(fact, dim, run_ts, unique_orders=True)  # load_fact keeps an order id once
     replace_day(gold, L.in_namespace(L.DAILY_PRODUCT_SALES, ns), root, dt)
 
 
@@ -190,9 +202,18 @@ def run_day(
     register: bool = True,
     dim_buckets: int | None = None,
     ns: str | None = None,
+    side_by_side: bool = True,
+    statistics: bool = False,
 ) -> None:
     """Run all data steps for business day ``dt`` against warehouse ``root``.
 
+    Steps that don't need each other run at the same time: the three bronze
+    loads, then both dimensions beside the fact, then the mart.  A failing step
+    fails the run once the others of its group have stopped; no later group
+    begins.  ``side_by_side=False`` runs them one after another.
+    ``statistics=True`` (with ``register``) gathers catalog statistics of what
+    the run wrote (:func:`strata.plans.catalog.analyze_run`).
+
     ``run_ts`` is the run's processing instant (one value for the whole run,
     so an expired version's end meets its successor's start exactly).
     ``dim_buckets`` keeps both dimensions bucketed by key (see
@@ -203,16 +224,42 @@ def run_day(
     run_ts = _dt.datetime.now(_dt.timezone.utc) if run_ts is None else run_ts
     if register:
         ensure_catalog(spark, root, dim_buckets, ns)
-    ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode, ns)
-    for dim_spec, stg_spec, dim in DIMENSIONS.values():
-        merge_dimension(
-            spark, root, dt, L.in_namespace(dim_spec, ns), L.in_namespace(stg_spec, ns), dim, run_ts, dim_buckets
-        )
-    load_fact(spark, root, dt, ns)
+    ingest_bronze(spark, root, landing_root or root, dt, run_ts, bronze_mode, ns, side_by_side)
+    silver = [
+        partial(merge_dimension, spark, root, dt, L.in_namespace(dim_spec, ns), L.in_namespace(stg_spec, ns), dim, run_ts, dim_buckets)
+        for dim_spec, stg_spec, dim in DIMENSIONS.values()
+    ]
+    _run(spark, [*silver, partial(load_fact, spark, root, dt, ns)], side_by_side)
     load_gold(spark, root, dt, run_ts, ns)
     if register:  # SQL over the catalog sees the new folders right away
-        for spec in L.TABLES:
-            add_partitions(spark, L.in_namespace(spec, ns), root, dt)
+        specs = [L.in_namespace(spec, ns) for spec in L.TABLES]
+        for spec in specs:
+            add_partitions(spark, spec, root, dt)
+        if statistics:
+            analyze_run(spark, specs, root, dt)
+
+
+def preview_sales(spark: SparkSession, root: str, n: int = 50, ns: str | None = None) -> DataFrame:
+    """The first ``n`` mart rows, latest days first, reading only the newest
+    days that hold them.
+
+    The day is the partition, so the folders' names give the order.  Days are
+    taken from the newest on, twice as many each time, until their row counts
+    (which Parquet keeps in its footers) reach ``n``; only their folders are
+    opened and sorted, whatever the mart's history.  Rows without a day come
+    last, as in :func:`strata.operators.top_sales`."""
+    spec = L.in_namespace(L.DAILY_PRODUCT_SALES, ns)
+    path = spec.path(root)
+    days = sorted((d for d in list_folders(spark, path) if d.startswith("dt=")), key=lambda d: ("__HIVE" not in d, d), reverse=True)
+    reader = spark.read.schema(spec.storage_schema).option("basePath", path)
+    if not days:
+        return top_sales(spark.createDataFrame([], spec.schema), n)
+    taken, rows = 0, 0
+    while rows < n and taken < len(days):
+        more = days[taken : 2 * taken + 1]
+        rows += reader.parquet(*[f"{path}/{d}" for d in more]).count()
+        taken += len(more)
+    return top_sales(reader.parquet(*[f"{path}/{d}" for d in days[:taken]]).select(*spec.schema.names), n)
 
 
 def read_gold(spark: SparkSession, root: str, ns: str | None = None) -> DataFrame:

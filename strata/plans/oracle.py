@@ -393,6 +393,8 @@ WHERE rn = 1
         "scd2_customers": with_ctes(cust_ctes, "SELECT * FROM dim2"),
         "scd2_products": with_ctes(prod_ctes, "SELECT * FROM dim2"),
         "scd2_customers_three_days": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
+        "scd2_customers_backfill": with_ctes(_dim_days("customers", 3)[0], "SELECT * FROM dim3"),
+        "scd2_customers_sql": with_ctes(cust_ctes, "SELECT * FROM dim2"),
         "scd2_expired": with_ctes(cust_ctes, f"SELECT {cust_cols} FROM merged2 WHERE expired_now"),
         "scd2_inserted": with_ctes(cust_ctes, "SELECT * FROM inserted2"),
         "sales_enriched": with_ctes(
@@ -424,6 +426,15 @@ WHERE rn = 1
             "FROM dim2 GROUP BY customer_id",
         ),
         "pipeline_fact": _pipeline_sql(("fact1", "fact2"), fact_cols),
+        "pipeline_preview": with_ctes(
+            _pipeline_ctes(),
+            "SELECT * FROM (SELECT * FROM gold1 UNION ALL SELECT * FROM gold2) ORDER BY dt DESC, product_id ASC NULLS LAST, category ASC NULLS LAST LIMIT 50",
+        ),
+        "pipeline_enriched_catalog": with_ctes(
+            _pipeline_ctes() + [("sold", "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2")],
+            "SELECT f.dt, f.order_id, f.product_id, f.order_amount, d.category FROM sold f "
+            "LEFT JOIN (SELECT product_id, category FROM dim2 WHERE is_current) d ON f.product_id = d.product_id",
+        ),
         "pipeline_catalog": _catalog_sql(),
         "scd2_suppliers": _suppliers(),
     }

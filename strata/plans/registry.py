@@ -23,7 +23,9 @@ from strata.operators import (
     enrich_sales,
     latest_per_key,
     scd2_apply,
+    scd2_history,
     scd2_plan,
+    scd2_plan_sql,
     split_dimension,
     standardize_customers,
     standardize_orders,
@@ -33,7 +35,7 @@ from strata.operators import (
 )
 from strata.plans import adapters as A
 from strata.plans.catalog import create_dimension, drop_registrations
-from strata.plans.daily import DIMENSIONS, ingest_entity, merge_dimension, read_gold, run_day, scd2_merge
+from strata.plans.daily import DIMENSIONS, ingest_entity, merge_dimension, preview_sales, read_gold, run_day, scd2_merge
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks.layout import FACT_ORDERS, TABLES, in_namespace
 from strata.sinks.versioned import create_versioned_dimension, read_dimension
@@ -149,12 +151,29 @@ def q_scd2_inserted(spark, sf_dir):
     return wall_clock(day2_merge(spark, sf_dir, "customers").inserted)
 
 
+def q_scd2_customers_backfill(spark, sf_dir):
+    """The three days' snapshots merged in one pass, however many there are."""
+    spec, whole = CUSTOMER_DIM_SPEC, None
+    for day in (A.DAY1, A.DAY2, A.DAY3):
+        stg = staged(spark, sf_dir, "customers", day).withColumn("run_ts", F.to_timestamp(F.lit(RUNS[day])))
+        whole = stg if whole is None else whole.unionByName(stg)
+    return wall_clock(scd2_history(None, whole, spec["key"], spec["tracked"], spec["order"]))
+
+
+def q_scd2_customers_sql(spark, sf_dir):
+    """The day-2 customer merge planned by SQL over the frames."""
+    spec = _dim_spec("customers")[0]
+    current = dimension_after(spark, sf_dir, "customers", A.DAY1)
+    stg2 = staged(spark, sf_dir, "customers", A.DAY2)
+    return wall_clock(scd2_plan_sql(current, stg2, spec["key"], spec["tracked"], spec["order"], A.RUN2).current_and_closed())
+
+
 def q_sales_enriched(spark, sf_dir):
     return wall_clock(enrich_sales(fact_all_days(spark, sf_dir), current_products(spark, sf_dir)))
 
 
 def daily_sales(spark, sf_dir):
-    return build_daily_product_sales(fact_all_days(spark, sf_dir), current_products(spark, sf_dir), A.RUN2)
+    return build_daily_product_sales(fact_all_days(spark, sf_dir), current_products(spark, sf_dir), A.RUN2, unique_orders=True)
 
 
 def q_daily_product_sales(spark, sf_dir):
@@ -189,7 +208,8 @@ def q_landing_roundtrip(spark, sf_dir):
 
 
 def _two_day_run(
-    spark: SparkSession, sf_dir: str, ns: str | None = None, dim_buckets: int | None = None, register: bool = False
+    spark: SparkSession, sf_dir: str, ns: str | None = None, dim_buckets: int | None = None, register: bool = False,
+    statistics: bool = False,
 ) -> tuple[str, str, DataFrame]:
     """Land two days of snapshots and orders, run the daily job for each;
     returns (landing root, warehouse root, raw orders)."""
@@ -202,7 +222,7 @@ def _two_day_run(
         export_landing(A.raw_products(spark, sf_dir, day, withheld=True), landing, "products", day)
         export_landing(orders.where(cond).drop("dt"), landing, "orders", day)
     for day, run in ((A.DAY1, A.RUN1), (A.DAY2, A.RUN2)):
-        run_day(spark, warehouse, day, run, landing_root=landing, register=register, dim_buckets=dim_buckets, ns=ns)
+        run_day(spark, warehouse, day, run, landing_root=landing, register=register, dim_buckets=dim_buckets, ns=ns, statistics=statistics)
     return landing, warehouse, orders
 
 
@@ -278,6 +298,29 @@ def q_pipeline_fact(spark, sf_dir):
     return wall_clock(read_table(spark, FACT_ORDERS, warehouse))
 
 
+def q_pipeline_preview(spark, sf_dir):
+    """The latest mart rows after two daily runs, read from the newest days."""
+    _, warehouse, _ = _two_day_run(spark, sf_dir)
+    return wall_clock(preview_sales(spark, warehouse, 50))
+
+
+def q_pipeline_enriched_catalog(spark, sf_dir):
+    """Two registered runs with statistics; the stored fact joined with the
+    current product dimension, both read through the catalog by SQL."""
+    ns = f"chk{uuid.uuid4().hex[:12]}"
+    out = scratch_path(spark, "enriched-view")
+    try:
+        _two_day_run(spark, sf_dir, ns=ns, register=True, statistics=True)
+        sales = spark.sql(
+            f"SELECT f.dt, f.order_id, f.product_id, f.order_amount, d.category FROM {ns}_silver.fact_orders f "
+            f"LEFT JOIN {ns}_silver.dim_product_scd2 d ON f.product_id = d.product_id AND d.is_current"
+        )
+        sales.write.parquet(out)
+    finally:
+        drop_registrations(spark, ns)
+    return spark.read.parquet(out)
+
+
 def q_pipeline_catalog(spark, sf_dir):
     """Two daily runs registered in the catalog under a private namespace:
     what SQL over each of the seven tables sees of each day (for the
@@ -366,4 +409,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_catalog": q_pipeline_catalog,
     "scd2_suppliers": q_scd2_suppliers,
     "pipeline_dim_versioned": q_pipeline_dim_versioned,
+    "pipeline_preview": q_pipeline_preview,
+    "pipeline_enriched_catalog": q_pipeline_enriched_catalog,
+    "scd2_customers_backfill": q_scd2_customers_backfill,
+    "scd2_customers_sql": q_scd2_customers_sql,
 }

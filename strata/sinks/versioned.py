@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 from collections.abc import Iterable, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,14 +114,16 @@ def _points_at(spark: SparkSession, name: str, partition: str, folder: str) -> b
 
 
 def switch(spark: SparkSession, name: str, folder: str, partitions: Iterable[str]) -> None:
-    """Point the partitions at a merge's folder, one statement each; again does no harm."""
+    """Point the partitions at a merge's folder, in their order; again does no
+    harm.  New partitions that follow each other are one statement."""
     known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    for p in partitions:
-        where = f"'{folder}/{p}'"
-        if p in known:
-            spark.sql(f"ALTER TABLE {name} PARTITION {_literal(p)} SET LOCATION {where}")
+    for old, run in groupby(partitions, key=known.__contains__):
+        if old:
+            for p in run:
+                spark.sql(f"ALTER TABLE {name} PARTITION {_literal(p)} SET LOCATION '{folder}/{p}'")
         else:
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION {_literal(p)} LOCATION {where}")
+            added = " ".join(f"PARTITION {_literal(p)} LOCATION '{folder}/{p}'" for p in run)
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(name)
 
 
