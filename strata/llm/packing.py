@@ -19,8 +19,7 @@ from __future__ import annotations
 
 import math
 import random
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ SEQUENCE = 4096
 GROUP_TOKENS = 2_000_000
 _BINS = 1 << 32
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long, ids binary"
+PIECE = "doc_id long, start long, length long, doc_tokens long, place long, ids binary"
 
 
 class Tournament:
@@ -78,11 +77,11 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
     return places
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, with_ids: bool = True, seed: int = 11) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, seed: int = 11) -> DataFrame:
     """Each document's pieces of at most ``sequence`` ids, with their place in
-    the deal; ids are in the encoder's narrow type, the checksum is of uint32."""
+    the deal; ids are in the encoder's narrow type."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
+        ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
         ("doc_tokens", pa.int64()), ("place", pa.int64()), ("ids", pa.binary()),
     ])
 
@@ -96,13 +95,20 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQ
             total = len(ids) // width
             for start in range(0, total, sequence):
                 part = ids[start * width : (start + sequence) * width]
-                crc = zlib.crc32(encoder.widen(part).tobytes())
-                yield doc_id, start, len(part) // width, crc, total, deal.getrandbits(62), part if with_ids else None
+                yield doc_id, start, len(part) // width, total, deal.getrandbits(62), part
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(map_rows(kernel, ["doc_id", "text"], schema, 1024), PIECE)
 
 
+def widened(ids: Iterable[bytes], lengths: np.ndarray) -> list[bytes]:
+    """The pieces' ids as little-endian uint32, all of a group at once."""
+    narrow = b"".join(ids)
+    wide = np.frombuffer(narrow, dtype=f"<u{len(narrow) // int(lengths.sum())}").astype("<u4").tobytes()
+    ends = (4 * lengths.cumsum()).tolist()
+    return [wide[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def pack(parts: DataFrame, sequence: int = SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """``parts`` (columns ``length`` and ``place``, and any others) with
     ``sequence_id`` and ``offset``; ``ids``, if there, are widened to uint32.
@@ -118,16 +124,15 @@ def pack(parts: DataFrame, sequence: int = SEQUENCE, group_tokens: int = GROUP_T
         group["sequence_id"] = [key[0] * _BINS + b for b, _ in placed]
         group["offset"] = [at for _, at in placed]
         if "ids" in group:
-            group["ids"] = [np.frombuffer(i, dtype=f"<u{len(i) // n}").astype("<u4").tobytes() for i, n in zip(group["ids"], group["length"])]
+            group["ids"] = widened(group["ids"], group["length"].to_numpy())
         return group.drop(columns=["place", "group"])
 
     return parts.withColumn("group", F.pmod("place", F.lit(groups))).groupBy("group").applyInPandas(fill, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, group_tokens: int = GROUP_TOKENS, with_ids: bool = True) -> DataFrame:
-    """One row a piece; with ``with_ids`` its ids as little-endian uint32."""
-    parts = pieces(docs, tokenizer, end_id, sequence, with_ids)
-    return pack(stored(parts if with_ids else parts.drop("ids"), "pieces", compression="zstd"), sequence, group_tokens)
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, sequence: int = SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """One row a piece, with its ids as little-endian uint32."""
+    return pack(stored(pieces(docs, tokenizer, end_id, sequence), "pieces", compression="zstd"), sequence, group_tokens)
 
 
 def sequences(packed: DataFrame, sequence: int = SEQUENCE) -> DataFrame:

@@ -101,7 +101,7 @@ def q_simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = stored(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")), "packed", compression="zstd")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     length = F.octet_length("ids").cast("long") / 4
     return packed.select(
         "doc_id", "start", length.cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
