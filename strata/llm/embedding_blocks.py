@@ -21,12 +21,16 @@ At this similarity a block's radius is close to the spread of unstructured
 vectors, so for these the slabs prune little and the number of chunk pairs
 grows with the square of a slab; vectors with structure prune more.
 
+The nodes are rows, numbered when the vectors are stored; ids only name the
+result.
+
 Cases: vectors that are null, zero, or hold null or non-finite components link
 with nothing and have their own row; so do those of another length than
 ``dims`` where that is given; a length below ``blocks`` has a block for each
-dimension; rows that repeat a vec_id are vectors of their own and share the result row of
-their id (a link between them counts); ties need no rule; an empty table gives
-an empty result; other columns are ignored.
+dimension; rows that repeat a vec_id or have none are vectors of their own, and
+a link between two of them counts; a component is named by its smallest
+vec_id that isn't null (null, if it has none); ties need no rule; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,30 +91,36 @@ def usable_rows(embedding: pa.Array, dims: int | None = None) -> dict[int, tuple
 
 
 def vector_slabs(vectors: DataFrame, dims: int | None, threshold: float, blocks: int) -> DataFrame:
-    """``(vec_id, dims, vector, deal, slabs)``: usable vectors, and the slab in each block."""
-    schema = pa.schema([("vec_id", pa.int64()), ("dims", pa.int32()), ("vector", pa.binary()), ("deal", pa.int64()), ("slabs", pa.list_(pa.int32()))])
+    """``(vec_id, deal, dims, vector, slabs)``: every vector with its row number
+    ``deal``; ``vector`` and ``slabs``, its slab in each block, are null where it
+    can't link."""
+    schema = pa.schema([("vec_id", pa.int64()), ("deal", pa.int64()), ("dims", pa.int32()), ("vector", pa.binary()), ("slabs", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rest = np.ones(batch.num_rows, dtype=bool)
             for n, (rows, values) in usable_rows(batch.column("embedding"), dims).items():
+                rest[rows] = False
                 lead = [a for a, _ in _edges(n, blocks)]
                 width = np.sqrt(np.array(budgets(n, blocks, threshold)) + _SLACK)
                 places = np.floor((unit(values) @ rotation(n))[:, lead] / width).astype(int)
                 take = lambda c: batch.column(c).take(pa.array(rows))  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [take("vec_id"), pa.array([n] * len(rows), pa.int32()), pa.array([v.tobytes() for v in values], pa.binary()), take("deal"), pa.array(places.tolist(), pa.list_(pa.int32()))],
+                    [take("vec_id"), take("deal"), pa.array([n] * len(rows), pa.int32()), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(places.tolist(), pa.list_(pa.int32()))],
                     schema=schema,
                 )
+            others = [batch.column(c).filter(pa.array(rest)) for c in ("vec_id", "deal")]
+            yield pa.RecordBatch.from_arrays([*others, *(pa.nulls(len(others[0]), schema.field(c).type) for c in ("dims", "vector", "slabs"))], schema=schema)
 
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.monotonically_increasing_id().alias("deal"))
-    return source.mapInArrow(run, "vec_id long, dims int, vector binary, deal long, slabs array<int>")
+    return source.mapInArrow(run, "vec_id long, deal long, dims int, vector binary, slabs array<int>")
 
 
 def _tiles(placed: DataFrame, chunk: int) -> DataFrame:
     """Every vector once for each tile it takes part in.  ``first`` marks the
     side of the tile; a chunk meets itself, the later chunks of its slab, and
     all chunks of the next slab."""
-    each = placed.select("vec_id", "dims", "vector", "deal", F.posexplode("slabs").alias("block", "slab"))
+    each = placed.select("dims", "vector", "deal", F.posexplode("slabs").alias("block", "slab"))
     # slabs of all blocks: bounded by blocks * 2 / radius for each length, whatever the number of vectors
     counts = {(r["dims"], r["block"], r["slab"]): math.ceil(r["count"] / chunk) for r in each.groupBy("dims", "block", "slab").count().collect()}
     plan = [(d, b, s, n, counts.get((d, b, s - 1), 0), counts.get((d, b, s + 1), 0)) for (d, b, s), n in counts.items()]
@@ -125,8 +135,8 @@ def _tiles(placed: DataFrame, chunk: int) -> DataFrame:
     later = many(mine, lambda i: tile(slab, i, slab, mine, False))
     ahead = many(F.col("chunks_after"), lambda j: tile(slab, mine, slab + 1, j, True))
     behind = many(F.col("chunks_before"), lambda j: tile(slab - 1, j, slab, mine, False))
-    return dealt.select("vec_id", "dims", "vector", "deal", "block", F.explode(F.concat(within, later, ahead, behind)).alias("t")).select(
-        "vec_id", "dims", "vector", "deal", "block", "t.*"
+    return dealt.select("dims", "vector", "deal", "block", F.explode(F.concat(within, later, ahead, behind)).alias("t")).select(
+        "dims", "vector", "deal", "block", "t.*"
     )
 
 
@@ -180,15 +190,15 @@ def _join(low: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def compare_tiles(tiles: DataFrame, dims: int | None, blocks: int, threshold: float) -> DataFrame:
-    """``(vec_id, links, root)``: for each vector of a tile that has links there;
+    """``(deal, links, root)``: for each vector of a tile that has links there;
     tiles of vectors of length ``dims`` only, if given."""
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         n, block, slab, a, slab2, b = map(int, key)
         same = (slab, a) == (slab2, b)
-        rows = rows.sort_values("vec_id", kind="stable")
+        rows = rows.sort_values("deal", kind="stable")
         first = rows["first"].to_numpy(bool)
-        ids = rows["vec_id"].to_numpy(np.int64)
+        ids = rows["deal"].to_numpy(np.int64)
         values = np.frombuffer(b"".join(rows["vector"]), dtype=np.float64).reshape(-1, n)
         li, ri = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(first), np.flatnonzero(~first))
         links = np.zeros(len(ids), dtype=np.int64)
@@ -200,10 +210,10 @@ def compare_tiles(tiles: DataFrame, dims: int | None, blocks: int, threshold: fl
                 np.add.at(links, j, 1)
                 low = _join(low, i, j)
         some = links > 0
-        return pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[low][some]})
+        return pd.DataFrame({"deal": ids[some], "links": links[some], "root": ids[low][some]})
 
     chosen = tiles if dims is None else tiles.where(F.col("dims") == dims)
-    return chosen.groupBy("dims", "block", "slab", "a", "slab2", "b").applyInPandas(compare, "vec_id long, links long, root long")
+    return chosen.groupBy("dims", "block", "slab", "a", "slab2", "b").applyInPandas(compare, "deal long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, dims: int | None = None, threshold: float = THRESHOLD, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
@@ -211,10 +221,13 @@ def near_duplicates(vectors: DataFrame, dims: int | None = None, threshold: floa
     vectors of every length are compared, or of length ``dims`` only."""
     placed = stored(vector_slabs(vectors, dims, threshold, blocks), "embedding-slabs")
     found = stored(compare_tiles(_tiles(placed, chunk), dims, blocks, threshold), "embedding-links")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("n"))
-    roots = connected_components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")), "embedding")
-    linked = links.join(roots, links["vec_id"] == roots["node"], "left").select(links["vec_id"].alias("id"), "n", "component")
-    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    return own.join(linked, own["vec_id"] == linked["id"], "left").select(
-        "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")
-    )
+    links = found.groupBy("deal").agg(F.sum("links").alias("n"))
+    roots = connected_components(found.select(F.col("deal").alias("u"), F.col("root").alias("v")), "embedding")
+    linked = links.join(roots, links["deal"] == roots["node"]).select(links["deal"].alias("at"), "n", "component")
+    own = placed.select("vec_id", "deal")
+    met = own.join(linked, own["deal"] == linked["at"], "left").select("vec_id", "n", "component")
+    met = stored(met, "embedding-members")
+    names = stored(met.where(F.col("component").isNotNull()).groupBy(F.col("component").alias("named")).agg(F.min("vec_id").alias("least")), "embedding-names")
+    alone = met.where(F.col("component").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    grouped = met.join(names, met["component"] == names["named"]).select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("least").alias("component_id"))
+    return grouped.unionByName(alone)

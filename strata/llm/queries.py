@@ -110,7 +110,7 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_embedding_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_blocks.near_duplicates(table(spark, sf_dir, "embeddings"))
-    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return found.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 QUERIES = {

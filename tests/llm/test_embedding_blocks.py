@@ -74,10 +74,18 @@ def test_the_result_follows_the_vectors_not_the_pairs(spark):
 
 def test_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1, 2, 3), (1, [1.0, 0.0], 1, 2, 3), (2, [0.0, 1.0], 1, 2, 3)], SCHEMA)
-    assert sorted(tuple(r) for r in E.near_duplicates(df, 2, blocks=2).collect()) == [(1, 2, 1), (1, 2, 1), (2, 0, 2)]
+    assert sorted(tuple(r) for r in E.near_duplicates(df, 2, blocks=2).collect()) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA), 4).collect() == []
 
 
+def test_rows_without_id_are_vectors_of_their_own(spark):
+    near = lambda a, b: [a, b, 0.01, 0.0]
+    rows = [(1, near(1.0, 0.0)), (2, near(1.0, 0.1)), (None, near(1.0, 0.05)), (5, near(0.0, 1.0)), (None, near(0.1, 1.0)), (None, near(-1.0, 0.0)), (None, near(-1.0, 0.1)), (None, None)]
+    got = E.near_duplicates(spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA).repartition(3), blocks=2).collect()
+    key = lambda r: tuple(-9 if x is None else x for x in r)
+    assert sorted(map(key, got)) == [(-9, 0, -9), (-9, 1, -9), (-9, 1, -9), (-9, 1, 5), (-9, 2, 1), (1, 2, 1), (2, 2, 1), (5, 1, 5)]
+
+
 def test_each_length_is_joined_with_itself(spark, tmp_root):
     rows, want = [], {}
     for seed, (dims, n) in enumerate(((16, 264), (24, 90), (3, 40), (2, 25), (1, 6))):
