@@ -1,9 +1,7 @@
 """Session construction and shared scratch locations.
 
-Library code does not change session settings (one exception: the bucketed
-dimension insert sets the partition overwrite mode for that single write and
-restores it); ``build_session`` is for tests, the bench and local runs.  Scratch data (lineage cuts, exported landing
-files, pipeline runs inside registered queries) goes under the cluster's
+Library code does not change session settings; ``build_session`` is for tests,
+the bench and local runs.  Scratch data (lineage cuts, exported landing files, pipeline runs inside registered queries) goes under the cluster's
 shared ``spark.checkpoint.dir``; only when that is unset (local tests) a
 private temporary folder is created and registered as the checkpoint dir.
 """
