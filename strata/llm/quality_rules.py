@@ -13,9 +13,10 @@ merge exactly by adding counts.  Cells are pre-aggregated in every map task, so
 a source with a third of all rows sends only its cells.  Groups of fewer than
 ``MIN_GROUP`` documents use the merged sketch of their language.
 
-The thresholds are joined back on (language, source), null-safe: Spark
-broadcasts them when their measured size allows and splits a hot source's
-partition otherwise.
+The sketch pass needs no repeated windows, so its counts are JVM expressions
+and the texts go through Python once, for the verdict.  The thresholds, one row
+a (language, source), are stored and joined back null-safe: Spark broadcasts
+them while their files are under its threshold, and no text is shuffled.
 
 Cases: null text has no words and is rejected by the base rule; null language
 or source is a group of its own; repeated rows are judged alike; an empty
@@ -32,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from strata.llm.common import ASCII_SPACE, stored
+
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
@@ -106,6 +109,21 @@ def with_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__counts", counts)]))
 
 
+def ratio_counts(text: Column) -> Column:
+    """The counts that the ratios need, equal to ``base_counts``, as a struct."""
+    text = F.coalesce(text, F.lit(""))
+    without = lambda chars: F.length(F.translate(text, chars, ""))
+    filled = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(ASCII_SPACE)) != "")
+    repeats = F.transform(F.array(filled), lambda kept: F.size(kept) - F.size(F.array_distinct(kept)))[0]  # one split a text
+    counts = {
+        "n_words": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")),
+        "word_chars": without(ASCII_SPACE),
+        "n_symbols": F.length(text) - without(SYMBOLS),
+        "n_dup_lines": repeats,
+    }
+    return F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))
+
+
 def ratio(name: str) -> Column:
     """The ratio in thousandths a word, rounded down."""
     return F.floor(F.col(f"__counts.{RATIOS[name][0]}") * 1000 / F.col("__counts.n_words")).cast("long")
@@ -174,7 +192,8 @@ def within_fences() -> Column:
 def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """``docs`` with ``__counts``, ``__base_failed`` and ``__kept``."""
     counted = with_counts(docs)
-    limits = thresholds(sketches(with_counts(docs.select("lang", "source", "text")).drop("text")), min_group)
+    measured = docs.select("lang", "source", ratio_counts(F.col("text")).alias("__counts"))
+    limits = stored(thresholds(sketches(measured), min_group), "quality-thresholds")
     limits = limits.withColumnsRenamed({"lang": "__l", "source": "__s"})
     c = F.col("__counts")
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED_PERCENT * c["n_words"])

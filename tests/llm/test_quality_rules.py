@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -26,6 +27,20 @@ def test_counts(text):
     assert Q.base_counts(text) == counts(text)
 
 
+def test_jvm_counts_equal_the_kernel(spark):
+    alphabet = ["a", "bc", "#", "\n", "\n", " ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x85", "é|", "　", "𝄞", "$&", "<>%"]
+    rng = random.Random(3)
+    texts = [None, "", "\n\n", *("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 80))) for _ in range(400))]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", Q.ratio_counts(F.col("text")).alias("c")).collect()
+    for r in got:
+        assert tuple(r["c"]) == Q.base_counts(r["text"])[:4], r["text"]
+
+
+def test_no_text_is_shuffled(docs):
+    plan = Q.drop_low_quality(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def cell(v):
     shift = max(v.bit_length() - 8, 0)
     return v >> shift << shift
