@@ -83,8 +83,13 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return joined.withColumn("__copies", copies(F.col("doc_id"), F.col("__rate"), seed)).drop("__s", "__rate")
 
 
+def emit(planned: DataFrame) -> DataFrame:
+    """The rows of ``plan_mix`` as often as the mix takes them, numbered by
+    ``__copy`` from 1; a row that it doesn't take comes once with a null."""
+    again = F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies")))
+    return planned.select("*", F.explode_outer(again).alias("__copy"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """The mixed corpus: every row as often as the mix takes it."""
-    planned = plan_mix(docs, weights, most, seed).where("__copies > 0")
-    again = F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    return planned.withColumn("__copy", again).select(*docs.columns)
+    return emit(plan_mix(docs, weights, most, seed)).where("__copy IS NOT NULL").select(*docs.columns)

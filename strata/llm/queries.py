@@ -75,12 +75,12 @@ def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    size = F.col("__size")
-    return planned.select(
-        "doc_id", size.alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-        (F.col("__copies") * size).cast("long").alias("taken"),
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", F.monotonically_increasing_id().alias("__row"))
+    told = ["doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target")]
+    emitted = mixing.emit(mixing.plan_mix(docs))
+    words = F.when(F.col("__copy").isNotNull(), F.col("__size")).otherwise(0)  # counted on the rows that the mix emits
+    counted = emitted.select("__row", *told, words.alias("words")).groupBy("__row", "doc_id", "size", "source_size", "target")
+    return counted.agg(F.sum("words").alias("taken")).drop("__row")
 
 
 def q_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

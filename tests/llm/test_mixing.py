@@ -60,6 +60,8 @@ def test_mix_against_brute_force(docs, rows):
     got = Counter((r["doc_id"], r["text"]) for r in mixed.collect())
     assert got == +want
     assert got == Counter((r["doc_id"], r["text"]) for r in M.mix(docs.repartition(9)).collect())
+    numbered = Counter((r["doc_id"], r["text"]) for r in M.emit(M.plan_mix(docs)).collect() if r["__copy"] is None)
+    assert numbered == Counter({k: sum((r[0], r[1]) == k for r in rows) for k, n in want.items() if not n})
     planned = M.plan_mix(docs).collect()
     assert all(r["__size"] == size(r["text"]) and r["__copies"] <= 3 for r in planned)
 
