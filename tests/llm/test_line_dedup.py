@@ -48,6 +48,31 @@ def test_near_threshold_lines_are_counted_exactly(spark):
         assert L.boilerplate(lines, least, near=0.9, lg_k=4).count() == found
 
 
+def test_slices_between_removed_positions(spark):
+    rows = [(list("abcde"), r) for r in ([], [0], [4], [1, 3], [3, 1], [0, 1, 2, 3, 4], [2])] + [([""], [0]), ([""], []), (["", "x", ""], [1])]
+    df = spark.createDataFrame(rows, "lines array<string>, removed array<int>")
+    for r in df.select("*", L.without(L.F.col("lines"), L.F.col("removed")).alias("kept")).collect():
+        assert r["kept"] == [x for i, x in enumerate(r["lines"]) if i not in r["removed"]]
+
+
+def test_long_texts_take_time_by_their_lines(spark):
+    """Texts of 100,000 lines, all but every fourth shared by twelve sites."""
+    from time import monotonic
+
+    def run(lines):
+        body = lambda d: "\n".join(f"line {i}" if i % 4 else f"own {d} {i}" for i in range(lines))
+        docs = spark.createDataFrame([(d, body(d), "en", f"s{d}", 1) for d in range(12)], "doc_id long, text string, lang string, source string, n_chars long")
+        start = monotonic()
+        out = L.drop_boilerplate(docs, marks=True).select("doc_id", "__n_removed", L.F.size(L.F.split("text", "\n", -1)).alias("n")).collect()
+        took = monotonic() - start
+        assert {(r["doc_id"], r["__n_removed"], r["n"]) for r in out} == {(d, lines * 3 // 4 if d else 0, lines // 4 if d else lines) for d in range(12)}
+        return took
+
+    run(1000)
+    short, long = run(10_000), run(100_000)
+    assert long < 20 * short  # ten times the lines; quadratic would be a hundred times
+
+
 def test_a_hot_line_is_one_sketch_a_task(docs):
     plan = L.lines(docs).groupBy("h1", "h2").agg(L.F.hll_sketch_agg("site", 12))._jdf.queryExecution().executedPlan().toString()
     assert "partial_hll_sketch_agg" in plan and "Python" not in plan
