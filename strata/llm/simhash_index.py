@@ -158,9 +158,10 @@ def drop_near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2) -> D
     marked = near_duplicates(docs, size, max_bits)
     first = marked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("k"))
     keep = stored(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key")).distinct(), "simhash-keep")
-    keyed = docs.withColumn("__row_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(keep["__id"]) & (keyed["__row_key"] == keep["__key"])
-    kept = keyed.join(keep, same, "left_semi")
+    # plain equality on the same three columns serves the join and the window: one shuffle of the texts
+    parts = [F.coalesce("__id", F.lit(0)).alias("__id"), F.col("__id").isNull().alias("__no_id"), "__key"]
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__no_id": F.col("doc_id").isNull(), "__key": F.xxhash64("text")})
+    kept = keyed.join(keep.select(*parts), ["__id", "__no_id", "__key"], "left_semi")
     order = [F.col(f.name) for f in docs.schema.fields if f.name not in ("doc_id", "text") and f.dataType.typeName() != "map"]
-    once = Window.partitionBy("doc_id", "__row_key").orderBy(*(order or [F.lit(0)]))
+    once = Window.partitionBy("__id", "__no_id", "__key").orderBy(*(order or [F.lit(0)]))
     return kept.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
