@@ -13,8 +13,8 @@ merge exactly by adding counts.  Cells are pre-aggregated in every map task, so
 a source with a third of all rows sends only its cells.  Groups of fewer than
 ``MIN_GROUP`` documents use the merged sketch of their language.
 
-The sketch pass needs no repeated windows, so its counts are JVM expressions
-and the texts go through Python once, for the verdict.  The thresholds, one row
+The sketch pass leaves out the repeated windows, most of the counting work,
+and returns no text.  The thresholds, one row
 a (language, source), are stored and joined back null-safe: Spark broadcasts
 them while their files are under its threshold, and no text is shuffled.
 
@@ -77,51 +77,45 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int(covered[:-1].sum())
 
 
-def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def ratio_counts(text: str | None) -> tuple[list[bytes], tuple[int, int, int, int]]:
+    """The words, and n_words, word_chars, n_symbols, n_dup_lines."""
     text = text or ""
     words = text.encode().split()
-    chars = len(text) - sum(map(text.count, " \t\n\x0b\x0c\r"))
+    chars = len(text) - sum(map(text.count, ASCII_SPACE))
     seen: set[str] = set()
     dup = 0
     for line in text.split("\n"):
         if line in seen:
             dup += 1
-        elif line.strip(" \t\n\x0b\x0c\r"):
+        elif line.strip(ASCII_SPACE):
             seen.add(line)
-    return len(words), chars, sum(map(text.count, SYMBOLS)), dup, repeated_words(words)
+    return words, (len(words), chars, sum(map(text.count, SYMBOLS)), dup)
+
+
+def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    words, counts = ratio_counts(text)
+    return *counts, repeated_words(words)
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def with_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``__counts``; the text is not copied
-    through Python's rows, only read."""
+def with_counts(docs: DataFrame, columns: list[str] | None = None, windows: bool = True) -> DataFrame:
+    """``columns`` of ``docs`` (all) with a struct column ``__counts``; the text
+    is not copied through Python's rows, only read.  Without ``windows``
+    n_repeat_words is null."""
     struct = pa.struct([(c, pa.int64()) for c in COUNTS])
+    names = columns or docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [dict(zip(COUNTS, base_counts(t.as_py()))) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, struct)], names=[*batch.schema.names, "__counts"])
+            texts = (t.as_py() for t in batch.column("text"))
+            rows = [dict(zip(COUNTS, base_counts(t) if windows else ratio_counts(t)[1])) for t in texts]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(rows, struct)], names=[*names, "__counts"])
 
     counts = StructType([StructField(c, LongType()) for c in COUNTS])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__counts", counts)]))
-
-
-def ratio_counts(text: Column) -> Column:
-    """The counts that the ratios need, equal to ``base_counts``, as a struct."""
-    text = F.coalesce(text, F.lit(""))
-    without = lambda chars: F.length(F.translate(text, chars, ""))
-    filled = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(ASCII_SPACE)) != "")
-    repeats = F.transform(F.array(filled), lambda kept: F.size(kept) - F.size(F.array_distinct(kept)))[0]  # one split a text
-    counts = {
-        "n_words": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")),
-        "word_chars": without(ASCII_SPACE),
-        "n_symbols": F.length(text) - without(SYMBOLS),
-        "n_dup_lines": repeats,
-    }
-    return F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))
+    return docs.mapInArrow(run, StructType([*(docs.schema[n] for n in names), StructField("__counts", counts)]))
 
 
 def ratio(name: str) -> Column:
@@ -192,7 +186,7 @@ def within_fences() -> Column:
 def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """``docs`` with ``__counts``, ``__base_failed`` and ``__kept``."""
     counted = with_counts(docs)
-    measured = docs.select("lang", "source", ratio_counts(F.col("text")).alias("__counts"))
+    measured = with_counts(docs.select("lang", "source", "text"), ["lang", "source"], windows=False)
     limits = stored(thresholds(sketches(measured), min_group), "quality-thresholds")
     limits = limits.withColumnsRenamed({"lang": "__l", "source": "__s"})
     c = F.col("__counts")
