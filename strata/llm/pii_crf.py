@@ -3,23 +3,31 @@
 The patterns for e-mail addresses, IP addresses, card and phone numbers give
 the base spans, which always stay.  A conditional random field over the tokens
 that hold a digit or ``@`` then looks for mentions that the patterns miss,
-such as a number repeated without its country code.  Its labels are none,
-e-mail, ip, card and phone; its potentials are
+such as a number repeated without its country code.  Neighbouring groups of
+digits are one mention.  Its labels are none, e-mail, ip, card and phone; its
+potentials are
 
-* one for each token, from its shape (weights of a softmax regression),
+* one for each token, from its shape and its mention's (weights of a softmax),
 * one for each pair of neighbouring tokens (chain), and
-* one for each pair of distant tokens that are equal or similar (skip chain:
-  the same text without case, or the same digits), which draws both to one label.
-
-All are trained here from tokens of documents that hold base spans, where the
-base spans are the labels: all such documents, or the ``TRAIN_DOCS`` of them
-with the smallest hashes.  The patterns run over all texts to find them.  Tokens under a base span are observed; loopy
-message passing spreads their labels along both kinds of edges through the
-document, and a token is added where the belief in a label reaches ``BELIEF``.
-A document without base spans has nothing to be consistent with and gets none.
-
-Repeated tokens are linked to the next and to the first of their kind, so the
-number of edges follows the number of tokens.
+* one for each pair of tokens of distant mentions that are equal or similar
+  (skip chain: the same text without case, or numbers with the same last
+  digits), which draws both to one label.
+
+All are trained here together, by the composite likelihood of each token given
+its neighbours' labels (pseudo-likelihood) and given its shape alone.  The
+base spans are the labels, and each phone number is seen once more without its
+country code.  The training documents are ``TRAIN_DOCS`` different ones that
+hold base spans and as many that hold candidate tokens only (those with the
+smallest hashes; all where there are fewer); Spark counts their distinct token
+patterns, and only these reach the driver.
+
+In every document with candidate tokens loopy message passing then spreads
+labels along both kinds of edges, with the tokens under a base span observed.
+A token is added where the belief in a label reaches ``BELIEF`` and its mention
+is tied to another one; a lone mention has nothing to be consistent with.
+
+Repeated mentions are linked to the next and to the first of their kind, token
+by token from their ends, so the number of edges follows the number of tokens.
 
 Cases: null text counts as empty; null doc_id and repeated rows give a row each;
 a table without any personal data trains nothing and adds nothing; an empty
@@ -30,8 +38,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +63,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _HAS = re.compile(r"[0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_COUNTRY = re.compile(r"\+[0-9]{1,3}[\x20-]+(?=[0-9(])")
 _CORE = re.compile(r"[A-Za-z0-9+(](?:.*[A-Za-z0-9)])?", re.DOTALL)
 
 
@@ -109,25 +120,62 @@ class Tokens:
     skip: list[tuple[int, int]]
 
 
-N_FEATURES = 34
+N_FEATURES = 42
+LABELS = len(KINDS) + 1
 
 
-def _shape(core: str, before: str | None, after: str | None) -> list[int]:
+def _shape(core: str, mention: str, before: str | None, after: str | None) -> list[int]:
+    """The numbers of the features that a token has."""
     digits = sum(c.isdigit() for c in core)
     on = [0, 1 + min(digits, 20) // 2, 12 + min(core.count("."), 4), 17 + min(core.count("-"), 3), 21 + min(len(core) // 4, 5)]
     for i, test in enumerate(("@" in core, core[:1] == "+", "(" in core, any(c.isalpha() for c in core), before is not None, after is not None, (before or "")[:1] == "+")):
         if test:
             on.append(27 + i)
+    whole = _NOT_DIGIT.sub("", mention)
+    on.append(34 + sum(len(whole) >= n for n in (4, 7, 10, 14, 20)))
+    if 14 <= len(whole) <= 19 and luhn(whole):
+        on.append(40)
+    parts = core.split(".")
+    if len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts):
+        on.append(41)
     return on
 
 
-def similarity_key(core: str) -> str:
-    """Tokens with the same key are linked: the digits of a long number
-    (without a country code), else the text without case."""
-    digits = _NOT_DIGIT.sub("", core)
-    if "@" not in core and len(digits) >= 7 and not any(c.isalpha() for c in core):
-        return digits[-10:] if len(digits) <= 13 else digits
-    return core.lower() if len(core) >= 4 else ""
+def similarity_key(mention: str) -> str:
+    """Mentions with the same key are linked: a number's last seven digits (so
+    without country or area code), all digits of a longer one, else the text
+    without case."""
+    digits = _NOT_DIGIT.sub("", mention)
+    if len(digits) >= 7 and _number(mention) and mention.count(".") != 3:
+        return digits[-7:] if len(digits) <= 13 else digits
+    return mention.lower()
+
+
+def _number(core: str) -> bool:
+    return "@" not in core and not any(c.isalpha() for c in core)
+
+
+def _mentions(text: str, spans: list[tuple[int, int]], cores: list[str], under: list[int]) -> list[list[int]]:
+    """Tokens by mention: groups of digits with only spaces between them are
+    one, unless one of them is a whole number, or a base span ends."""
+    short = [_number(c) and sum(d.isdigit() for d in c) < 9 for c in cores]
+    out: list[list[int]] = []
+    for i, (start, _) in enumerate(spans):
+        joins = i > 0 and short[i] and short[i - 1] and under[i] == under[i - 1] and cores[i][:1] != "+"
+        gap = text[spans[i - 1][1] : start] if joins and start - spans[i - 1][1] <= 3 else "-"
+        if joins and not gap.strip(" "):
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
+def _aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Two mentions' tokens in pairs from their ends; those that the longer one
+    has more go with the first of the shorter."""
+    n = min(len(a), len(b))
+    more = [(a[0], j) for j in b[:-n]] + [(i, b[0]) for i in a[:-n]]
+    return more + list(zip(a[-n:], b[-n:]))
 
 
 def tokens_of(text: str, base: list[tuple[int, int, int]]) -> Tokens:
@@ -139,25 +187,28 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> Tokens:
             cores.append(core.group())
     near = [b[0] - a[1] <= 3 and not text[a[1] : b[0]].strip(" .,;:!?\"'") for a, b in zip(spans, spans[1:])]
     labels = np.zeros(len(spans), dtype=np.int64)
+    under = [-1] * len(spans)
     starts = [a for a, _ in spans]
-    for a, b, kind in base:
+    for nth, (a, b, kind) in enumerate(base):
         i = max(0, bisect_left(starts, a) - 1)
         while i < len(spans) and spans[i][0] < b:
             if spans[i][1] > a and labels[i] == 0:
-                labels[i] = kind + 1
+                labels[i], under[i] = kind + 1, nth
             i += 1
-    at = range(len(spans))
-    features = [_shape(cores[i], cores[i - 1] if i and near[i - 1] else None, cores[i + 1] if i < len(near) and near[i] else None) for i in at]
     skip, last, first = [], {}, {}
-    for i in at:
-        key = similarity_key(cores[i])
+    features: list[list[int]] = []
+    for mention in _mentions(text, spans, cores, under):
+        whole = " ".join(cores[i] for i in mention)
+        for i in mention:
+            features.append(_shape(cores[i], whole, cores[i - 1] if i and near[i - 1] else None, cores[i + 1] if i < len(near) and near[i] else None))
+        key = similarity_key(whole)
         if key in first:
-            skip.append((last[key], i))
-            if first[key] != last[key]:
-                skip.append((first[key], i))
-        elif key:
-            first[key] = i
-        last[key] = i
+            skip.extend(_aligned(last[key], mention))
+            if first[key] is not last[key]:
+                skip.extend(_aligned(first[key], mention))
+        else:
+            first[key] = mention
+        last[key] = mention
     return Tokens(spans, features, labels, [(i, i + 1) for i, n in enumerate(near) if n], skip)
 
 
@@ -172,32 +223,71 @@ class Model:
         return z - np.logaddexp.reduce(z, axis=1, keepdims=True)
 
 
-def train(sample: list[Tokens], rounds: int = 300, rate: float = 2.0, decay: float = 1e-3) -> Model:
-    """Softmax regression on token shapes; smoothed log ratios for both edges."""
-    labels = len(KINDS) + 1
-    chain, agree, apart = np.ones((labels, labels)), 1.0, 1.0
-    on = [f for t in sample for f in t.features]
-    y = np.concatenate([t.labels for t in sample]) if sample else np.zeros(0, dtype=np.int64)
-    x = np.zeros((len(on), N_FEATURES))
-    for i, f in enumerate(on):
-        x[i, f] = 1
-    x, places, counts = np.unique(np.hstack([x, np.eye(labels)[y]]), axis=0, return_inverse=True, return_counts=True) if len(on) else (np.zeros((0, N_FEATURES + labels)), None, np.zeros(0))
-    x, target = x[:, :N_FEATURES], x[:, N_FEATURES:]
-    w = np.zeros((N_FEATURES, labels))
-    for _ in range(rounds if len(x) else 0):
-        z = x @ w
-        p = np.exp(z - np.logaddexp.reduce(z, axis=1, keepdims=True))
-        w -= rate * (x.T @ ((p - target) * counts[:, None]) / counts.sum() + decay * w)
-    for t in sample:
-        for i, j in t.chain:
-            chain[t.labels[i], t.labels[j]] += 1
-        for i, j in t.skip:
-            if t.labels[i] == t.labels[j]:
-                agree += t.labels[i] > 0
-            else:
-                apart += 1
-    ratio = np.log(chain * chain.sum() / (chain.sum(axis=1, keepdims=True) * chain.sum(axis=0, keepdims=True)))
-    return Model(w, np.clip(ratio, -2, 2), float(np.clip(np.log(agree / apart), 1.0, 6.0)))
+def patterns(tokens: Tokens) -> Counter:
+    """How often each pattern of a token and its neighbours' labels occurs: a
+    row of bytes holding the features, the labels of the left and right
+    neighbours, the labels at skip edges (at most 3 of each), and its own."""
+    width = N_FEATURES + 3 * LABELS
+    rows = np.zeros((len(tokens.spans), width + 1), dtype=np.uint8)
+    for i, on in enumerate(tokens.features):
+        rows[i, on] = 1
+    y = tokens.labels
+    for i, j in tokens.chain:
+        rows[j, N_FEATURES + y[i]] = rows[i, N_FEATURES + LABELS + y[j]] = 1
+    for pair in tokens.skip:
+        for i, j in (pair, pair[::-1]):
+            rows[i, N_FEATURES + 2 * LABELS + y[j]] = min(3, rows[i, N_FEATURES + 2 * LABELS + y[j]] + 1)
+    rows[:, width] = y
+    return Counter(r.tobytes() for r in rows)
+
+
+def without_country_codes(text: str, base: list[tuple[int, int, int]]) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text with the country code taken out of its phone numbers, and the base spans there."""
+    cuts = [m.span() for a, b, kind in base if kind == 3 and (m := _COUNTRY.match(text, a, b))]
+    kept, at = [], 0
+    for a, b in cuts:
+        kept.append(text[at:a])
+        at = b
+    ends = [b for _, b in cuts]
+    gone = [0, *accumulate(b - a for a, b in cuts)]
+
+    def moved(x: int) -> int:  # a span that starts with a code starts behind it
+        n = bisect_left(ends, x + 1)
+        return x - gone[n] - (max(0, x - cuts[n][0]) if n < len(cuts) else 0)
+
+    return "".join([*kept, text[at:]]), [(moved(a), moved(b), kind) for a, b, kind in base]
+
+
+def train_patterns(counted: dict[bytes, int], rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> Model:
+    """The potentials that maximise the composite likelihood, by Adam; rounds
+    and order are fixed, so reruns agree."""
+    keys = sorted(counted)
+    rows = np.array([np.frombuffer(k, dtype=np.uint8) for k in keys]).reshape(len(keys), N_FEATURES + 3 * LABELS + 1).astype(float)
+    weight = np.array([counted[k] for k in keys], dtype=float)
+    weight /= max(weight.sum(), 1)
+    x, left, right, tied = np.split(rows[:, :-1], [N_FEATURES, N_FEATURES + LABELS, N_FEATURES + 2 * LABELS], axis=1)
+    target = np.eye(LABELS)[rows[:, -1].astype(int)]
+    w, chain, skip = np.zeros((N_FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros(1)
+    parts = [w, chain, skip]
+    mean, square = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
+
+    def error(z: np.ndarray) -> np.ndarray:
+        return (np.exp(z - np.logaddexp.reduce(z, axis=1, keepdims=True)) - target) * weight[:, None]
+
+    for n in range(1, rounds + 1 if len(keys) else 1):
+        alone = x @ w
+        given = error(alone + left @ chain + right @ chain.T + skip * tied)
+        steps = [x.T @ (given + error(alone)), left.T @ given + given.T @ right, np.array([(given * tied).sum()])]
+        for p, g, m, v in zip(parts, steps, mean, square):
+            g = g + decay * p
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.999**n)) + 1e-8)
+    return Model(w, chain, float(max(skip[0], 0.0)))
+
+
+def train(sample: list[Tokens]) -> Model:
+    return train_patterns(sum(map(patterns, sample), Counter()))
 
 
 def beliefs(tokens: Tokens, model: Model, rounds: int = ROUNDS) -> np.ndarray:
@@ -206,38 +296,44 @@ def beliefs(tokens: Tokens, model: Model, rounds: int = ROUNDS) -> np.ndarray:
     seen = tokens.labels > 0
     local[seen] = -30.0
     local[seen, tokens.labels[seen]] = 0.0
-    edges = tokens.chain + tokens.skip
+    n, chains, edges = len(local), len(tokens.chain), tokens.chain + tokens.skip
     if edges:
-        agree = model.skip * np.eye(local.shape[1])
-        tables = np.array([model.chain] * len(tokens.chain) + [agree] * len(tokens.skip))
         a, b = np.array(edges).T
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
-        tables = np.concatenate([tables, tables.transpose(0, 2, 1)])  # source label x target label
         back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
-        messages = np.zeros((len(source), local.shape[1]))
+        along, agree = np.exp(model.chain), np.exp(model.skip * np.eye(LABELS))
+        tables = [(slice(0, chains), along), (slice(chains, len(a)), agree), (slice(len(a), len(a) + chains), along.T), (slice(len(a) + chains, None), agree)]
+        messages = np.zeros((len(source), LABELS))
+        gathered = lambda m: np.stack([np.bincount(target, weights=m[:, k], minlength=n) for k in range(LABELS)], axis=1)
         for _ in range(rounds):
-            total = local.copy()
-            np.add.at(total, target, messages)
-            sent = np.logaddexp.reduce((total[source] - messages[back])[:, :, None] + tables, axis=1)
-            sent -= np.logaddexp.reduce(sent, axis=1, keepdims=True)
+            held = (local + gathered(messages))[source] - messages[back]
+            held = np.exp(held - held.max(axis=1, keepdims=True))
+            sent = np.empty_like(held)
+            for part, t in tables:
+                sent[part] = held[part] @ t
+            sent = np.log(sent / sent.sum(axis=1, keepdims=True))
             change = np.abs(sent - messages).max()
             messages = 0.5 * messages + 0.5 * sent
             if change < 1e-3:
                 break
-        np.add.at(local, target, messages)
+        local = local + gathered(messages)
     return np.exp(local - np.logaddexp.reduce(local, axis=1, keepdims=True))
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], model: Model | None) -> list[tuple[int, int, int]]:
     """Spans that the field adds to the base spans; none overlaps a base span."""
-    if not base or model is None:
+    if model is None or not _HAS.search(text):
         return []
     tokens = tokens_of(text, base)
-    if not tokens.spans or (tokens.labels > 0).all():
-        return []
+    tied = np.zeros(len(tokens.spans), dtype=bool)
+    for pair in tokens.skip:
+        tied[list(pair)] = True
+    open_ = tied & (tokens.labels == 0)
+    if not open_.any():
+        return []  # only tied tokens are added
     belief = beliefs(tokens, model)
     best = belief.argmax(axis=1)
-    new = (tokens.labels == 0) & (best > 0) & (belief.max(axis=1) >= BELIEF)
+    new = open_ & (best > 0) & (belief.max(axis=1) >= BELIEF)
     near, out = {j: i for i, j in tokens.chain}, []
     for i in np.flatnonzero(new).tolist():
         a, b = tokens.spans[i]
@@ -246,7 +342,18 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: Model | None
             out[-1] = (out[-1][0], b, out[-1][2])
         else:
             out.append((a, b, int(best[i]) - 1))
-    return [s for s in out if all(s[1] <= a or s[0] >= b for a, b, _ in base)]
+    return _apart(out, base)
+
+
+def _apart(spans: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans that overlap no base span; both by start."""
+    out, reach, at = [], -1, 0
+    for a, b, kind in spans:
+        while at < len(base) and base[at][0] < b:
+            reach, at = max(reach, base[at][1]), at + 1
+        if reach <= a:
+            out.append((a, b, kind))
+    return out
 
 
 def spans_text(spans: list[tuple[int, int, int]]) -> str:
@@ -254,9 +361,9 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _drawn(marks: DataFrame, train_docs: int) -> int | None:
-    """The hash up to which the first ``train_docs`` of the labelled documents
-    lie; None if there are no more than that.  ``marks`` holds their hashes,
-    stored; a share of them is sorted that is doubled until it is enough."""
+    """The hash up to which the first ``train_docs`` of the marked documents
+    lie; None if there are no more than that.  ``marks`` holds their different
+    hashes, stored; a share of them is sorted that is doubled until it is enough."""
     total = marks.count()
     share = 1.2 * train_docs / max(total, 1)
     while total > train_docs:
@@ -267,31 +374,41 @@ def _drawn(marks: DataFrame, train_docs: int) -> int | None:
     return None
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
-    """The model from the documents that hold base spans, ``train_docs`` at
-    most; None only if there is no such document."""
-    hashed = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 12).alias("h")
+def training_patterns(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """``(h, labelled, pattern, n)``: the token patterns of the training
+    documents, each known by its hash; copies count once."""
+    hashed = F.shiftrightunsigned(F.xxhash64("text"), 12).alias("h")
     candidates = docs.where(F.col("text").rlike("[0-9@]")).select(hashed, "text")
-    schema = pa.schema([("h", pa.int64()), ("labels", pa.list_(pa.int64())), ("features", pa.list_(pa.list_(pa.int64()))), ("chain", pa.list_(pa.list_(pa.int64()))), ("skip", pa.list_(pa.list_(pa.int64())))])
 
     def marked(rows: Iterator[tuple]) -> Iterator[tuple]:
         for h, text in rows:
-            if base_spans(text):
-                yield (h,)
+            yield h, bool(base_spans(text))
+
+    marks = candidates.mapInArrow(map_rows(marked, ["h", "text"], pa.schema([("h", pa.int64()), ("labelled", pa.bool_())])), "h long, labelled boolean")
+    marks = stored(marks.distinct(), "pii-marks")
+    last = {labelled: _drawn(marks.where(F.col("labelled") == labelled), train_docs) for labelled in (True, False)}
 
     def kernel(rows: Iterator[tuple]) -> Iterator[tuple]:
         for h, text in rows:
             base = base_spans(text)
-            if base:
-                t = tokens_of(text, base)
-                yield h, t.labels.tolist(), t.features, t.chain, t.skip
-
-    marks = candidates.mapInArrow(map_rows(marked, ["h", "text"], pa.schema([("h", pa.int64())])), "h long")
-    last = _drawn(stored(marks, "pii-labelled"), train_docs)
-    sample = candidates if last is None else candidates.where(F.col("h") <= last)
-    shapes = sample.mapInArrow(map_rows(kernel, ["h", "text"], schema, 256), "h long, labels array<long>, features array<array<long>>, chain array<array<long>>, skip array<array<long>>")
-    rows = sorted(shapes.orderBy("h").limit(train_docs).collect(), key=lambda r: r["h"])
-    return train([Tokens([], r["features"], np.array(r["labels"], dtype=np.int64), r["chain"], r["skip"]) for r in rows]) if rows else None
+            if last[bool(base)] is None or h <= last[bool(base)]:
+                counted = patterns(tokens_of(text, base))
+                if base:
+                    counted += patterns(tokens_of(*without_country_codes(text, base)))
+                for pattern, n in counted.items():
+                    yield h, bool(base), pattern, n
+
+    if None not in last.values():
+        candidates = candidates.where(F.col("h") <= max(last.values()))
+    schema = pa.schema([("h", pa.int64()), ("labelled", pa.bool_()), ("pattern", pa.binary()), ("n", pa.int64())])
+    return candidates.mapInArrow(map_rows(kernel, ["h", "text"], schema), "h long, labelled boolean, pattern binary, n long").distinct()
+
+
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
+    """The model from ``train_docs`` documents at most that hold base spans and
+    as many without; None only if no document holds one."""
+    counted = training_patterns(docs, train_docs).groupBy("pattern").agg(F.sum("n").alias("n"), F.max("labelled").alias("labelled")).collect()
+    return train_patterns({bytes(r["pattern"]): r["n"] for r in counted}) if any(r["labelled"] for r in counted) else None
 
 
 def find(docs: DataFrame, model: Model | None) -> DataFrame:
