@@ -92,14 +92,26 @@ def positions(placed: DataFrame, group: list[str]) -> DataFrame:
     return joined.select(*placed.columns, (F.col("row_id") + F.col("__offset")).alias("position"), "total")
 
 
+HUB_PARTS = 64
+
+
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """``(u, v, m)``: each pair with the least ``v`` of its ``u``.  Pairs meet it
+    by node and part; a node's window holds a row a part, not a row a pair."""
+    parted = pairs.withColumn("__part", F.pmod(F.xxhash64("v"), F.lit(HUB_PARTS)))
+    parts = parted.groupBy("u", "__part").agg(F.min("v").alias("w"))
+    least = parts.select("u", "__part", F.min("w").over(Window.partitionBy("u")).alias("m"))
+    return parted.join(least, ["u", "__part"]).select("u", "v", "m")
+
+
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of an undirected graph given as ``(u, v)`` longs.
 
     Alternates the large-star and small-star steps (Kiveris et al., 2014): each
     round links every node's neighbours to its smallest known neighbour, so
     the edge count never grows and a logarithmic number of rounds is typical.
-    A round is joins and map-side combined minima, never a group collected in
-    one task; each round's edges are written to shared storage and two scalars
+    A round is joins and map-side combined minima; a node's edges are dealt to
+    ``HUB_PARTS`` parts, so that a hub's don't meet in one task; each round's edges are written to shared storage and two scalars
     reach the driver.  Returns ``(node, component)`` for nodes with an edge,
     ``component`` being the smallest node reachable.
     """
@@ -110,11 +122,10 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     state = _fingerprint(e)
     while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-star")
+        lowest = F.least("u", "m")
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), lowest.alias("v")).distinct()
+        links = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        e = stored(_with_least(large).select(F.inline(links)).where("u != v").distinct(), f"{name}-star")
         before, state = state, _fingerprint(e)
         if state == before:
             break
