@@ -15,8 +15,9 @@ potentials are
 
 All are trained here together, by the composite likelihood of each token given
 its neighbours' labels (pseudo-likelihood) and given its shape alone.  The
-base spans are the labels, and each phone number is seen once more without its
-country code.  The training documents are ``TRAIN_DOCS`` different ones that
+base spans are the labels.  Each labelled document is followed by a repeat of
+itself whose phone numbers lack the country code (``repeated``), since that is
+how distant mentions look.  The training documents are ``TRAIN_DOCS`` different ones that
 hold base spans and as many that hold candidate tokens only (those with the
 smallest hashes; all where there are fewer); Spark counts their distinct token
 patterns, and only these reach the driver.
@@ -63,6 +64,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _HAS = re.compile(r"[0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_NOT_DIGITS = re.compile(r"[^0-9]+")
 _COUNTRY = re.compile(r"\+[0-9]{1,3}[\x20-]+(?=[0-9(])")
 _CORE = re.compile(r"[A-Za-z0-9+(](?:.*[A-Za-z0-9)])?", re.DOTALL)
 
@@ -241,21 +243,24 @@ def patterns(tokens: Tokens) -> Counter:
     return Counter(r.tobytes() for r in rows)
 
 
-def without_country_codes(text: str, base: list[tuple[int, int, int]]) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text with the country code taken out of its phone numbers, and the base spans there."""
-    cuts = [m.span() for a, b, kind in base if kind == 3 and (m := _COUNTRY.match(text, a, b))]
-    kept, at = [], 0
-    for a, b in cuts:
-        kept.append(text[at:a])
-        at = b
-    ends = [b for _, b in cuts]
-    gone = [0, *accumulate(b - a for a, b in cuts)]
-
-    def moved(x: int) -> int:  # a span that starts with a code starts behind it
-        n = bisect_left(ends, x + 1)
-        return x - gone[n] - (max(0, x - cuts[n][0]) if n < len(cuts) else 0)
-
-    return "".join([*kept, text[at:]]), [(moved(a), moved(b), kind) for a, b, kind in base]
+def repeated(text: str, base: list[tuple[int, int, int]]) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text followed by itself, with its base spans in both; in the repeat,
+    phone numbers lack their country code and are written as they were, with
+    hyphens or with spaces, in turn.  Overlapping spans count as their first."""
+    parts, spans, at = [text, "\n"], list(base), 0
+    size = len(text) + 1
+    for nth, (a, b, kind) in enumerate(base):
+        if a < at:
+            continue
+        code = _COUNTRY.match(text, a, b) if kind == 3 else None
+        mention = text[code.end() : b] if code else text[a:b]
+        if code and nth % 3:
+            mention = _NOT_DIGITS.sub("- "[nth % 3 - 1], mention).strip("- ")
+        parts += [text[at:a], mention]
+        size += a - at
+        spans.append((size, size + len(mention), kind))
+        size, at = size + len(mention), b
+    return "".join([*parts, text[at:]]), spans
 
 
 def train_patterns(counted: dict[bytes, int], rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> Model:
@@ -392,10 +397,8 @@ def training_patterns(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFram
         for h, text in rows:
             base = base_spans(text)
             if last[bool(base)] is None or h <= last[bool(base)]:
-                counted = patterns(tokens_of(text, base))
-                if base:
-                    counted += patterns(tokens_of(*without_country_codes(text, base)))
-                for pattern, n in counted.items():
+                seen = tokens_of(*repeated(text, base)) if base else tokens_of(text, base)
+                for pattern, n in patterns(seen).items():
                     yield h, bool(base), pattern, n
 
     if None not in last.values():

@@ -151,11 +151,13 @@ def test_numbers_in_other_groups_and_codes_are_tied():
     assert not tied("no 5557741 but 5557742")
 
 
-def test_country_codes_are_taken_out():
-    text = "a@b.co, +1 (640) 555-7741 x +33 6 12 34 56 78 y c@d.co +15556667777"
-    bare, base = P.without_country_codes(text, P.base_spans(text))
-    assert bare == "a@b.co, (640) 555-7741 x 6 12 34 56 78 y c@d.co +15556667777"
-    assert [bare[a:b] for a, b, _ in base] == ["a@b.co", "(640) 555-7741", "6 12 34 56 78", "c@d.co", "+15556667777"]
+def test_repeats_lack_country_codes():
+    text = "a@b.co, +1 (640) 555-7741 x +33 6 12 34 56 78 y +44 20 7946-0958 c@d.co +15556667777"
+    both, base = P.repeated(text, P.base_spans(text))
+    assert both == text + "\na@b.co, 640-555-7741 x 6 12 34 56 78 y 20 7946-0958 c@d.co +15556667777"
+    said = [both[a:b] for a, b, _ in base]
+    assert said[6:] == ["a@b.co", "640-555-7741", "6 12 34 56 78", "20 7946-0958", "c@d.co", "+15556667777"]
+    assert said[:6] == [text[a:b] for a, b, _ in P.base_spans(text)]
 
 
 def planted(rng):
