@@ -186,6 +186,8 @@ def test_planted_mentions_with_and_without_a_base_span(spark):
             added = P.added_spans(text, P.base_spans(text), model)
             hit[code] += any(a <= at + 1 and at + len(phone) <= b and k == 3 for a, b, k in added)
     assert min(hit.values()) >= 90, hit
+    for plain in ("2003-05-12", "77123", "4.2.1", "12/04/1999", "1234567"):  # repeated, but no personal data
+        assert not P.added_spans(f"on {plain} and later on {plain} again", [], model)
     clean = [P.added_spans(t, [], model) for _, t in rows[400:]]
     assert sum(map(bool, clean)) <= 8
 
