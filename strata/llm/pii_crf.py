@@ -26,6 +26,8 @@ In every document with candidate tokens loopy message passing then spreads
 labels along both kinds of edges, with the tokens under a base span observed.
 A token is added where the belief in a label reaches ``BELIEF`` and its mention
 is tied to another one; a lone mention has nothing to be consistent with.
+A kind also needs its own evidence (``NEEDED``), so repeated dates are no phones;
+a repeated plain number of 9 to 13 digits still counts as one.
 
 Repeated mentions are linked to the next and to the first of their kind, token
 by token from their ends, so the number of edges follows the number of tokens.
