@@ -25,11 +25,11 @@ def build_daily_product_sales(
     planned as aggregate-then-join: the fact is reduced to one row per
     ``(dt, product_id)`` (partial aggregation map-side, so a product holding a
     third of all orders is pre-combined before it is shuffled), and only that
-    small result meets the dimension.  Dimension copies are folded in by a
-    second aggregation that needs no shuffle, because the first one already
-    partitioned on a subset of its keys.  If the dimension ever held two
-    current rows for a product, sums double while distinct counts do not,
-    exactly as with join-first.
+    small result meets the dimension.  The dimension is folded to one row per
+    ``(product_id, category)`` with its number of copies, so the join gives the
+    mart's rows as they are and no hash table of them is built after it.  If
+    the dimension ever held two current rows for a product, sums double while
+    distinct counts do not, exactly as with join-first.
 
     ``unique_orders`` declares that an order_id occurs once a day in the fact,
     as :func:`transform_fact_orders` leaves it.  Orders are then counted
@@ -45,15 +45,18 @@ def build_daily_product_sales(
         F.sum("order_amount").alias("_revenue"),
         F.countDistinct("customer_id").alias("unique_customers"),
     )
-    joined = per_product.join(
-        dim_product_current.select("product_id", "category"), "product_id", "left"
+    categories = dim_product_current.groupBy("product_id", "category").agg(F.count("*").alias("_n"))
+    copies = F.coalesce("_n", F.lit(1))
+    return per_product.join(categories, "product_id", "left").select(
+        "dt",
+        "product_id",
+        "category",
+        "orders_count",
+        (F.col("_units") * copies).cast("bigint").alias("units_sold"),
+        F.round(F.col("_revenue") * copies, 2).try_cast(AMOUNT).alias("gross_revenue"),
+        "unique_customers",
+        run_ts_col(run_ts).alias("ingest_ts"),
     )
-    return joined.groupBy("dt", "product_id", "category").agg(
-        F.max("orders_count").alias("orders_count"),
-        F.sum("_units").cast("bigint").alias("units_sold"),
-        F.round(F.sum("_revenue"), 2).try_cast(AMOUNT).alias("gross_revenue"),
-        F.max("unique_customers").alias("unique_customers"),
-    ).withColumn("ingest_ts", run_ts_col(run_ts))
 
 
 def top_sales(sales: DataFrame, n: int = 50) -> DataFrame:
