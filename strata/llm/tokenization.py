@@ -3,8 +3,11 @@
 The two supported pre-tokenizers never let a token cross the gap before a
 space that follows a visible character, so a text is cut there, each distinct
 piece is encoded once by the ``tokenizers`` library and remembered, and the
-pieces' ids are concatenated.  The ids are those of the whole text.  The memory
-of pieces is bounded and only saves time.
+pieces' ids are concatenated.  Byte-level tokenizers write a line feed between
+visible characters as a token of its own, so texts are cut around it too.  The
+ids are those of the whole text.  The memory of pieces is bounded and only saves
+time; a piece is remembered when it is met a second time, so that the many
+pieces of a single text don't fill it.
 """
 
 from __future__ import annotations
@@ -19,15 +22,23 @@ from collections.abc import Iterator
 import numpy as np
 
 MEMORY_PIECES = 400_000
+#: Marks of pieces met once, by hash (two pieces may share one); a power of two.
+MET_SPOTS = 1 << 22
 
 BATCH_CHARS = 1_000_000
 
 _SAFE_GAP = re.compile(r"(?<=[\w!-~])(?= )")
-_OTHER_GAP = re.compile(r"[^\w!-~] ")
+_OTHER_GAP = re.compile(r" (?<=[^\w!-~] )")
+_OTHER_LINE = re.compile(r"\n(?:(?<=[^\w!-~]\n)|(?=[^\w!-~]))")
 _ASCII_GAPS = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
 #: Marks that end a token where a letter or digit stands before them.
-_MARKS = frozenset(".,!?;:")
+_MARKS = ".,!?;:"
+#: Signs of which a run after a letter or digit is one word of byte-level tokenizers.
+_SIGNS = ".,!?;:#$%&*+=@^~"
 _ALNUM = frozenset(string.ascii_letters + string.digits)
+#: The same with the letters of Latin-1.
+_LATIN_ALNUM = _ALNUM | {c for c in map(chr, range(128, 256)) if c.isalpha()}
+MEMORY_RUNS = 10_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,6 +50,9 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_SPACE_LETTER = _BYTE_LETTERS[ord(" ")]
+#: What byte-level vocabularies write for each character of Latin-1.
+_LATIN_LETTERS = {n: "".join(_BYTE_LETTERS.get(b, chr(b)) for b in chr(n).encode()) for n in range(256)}
 
 
 class PieceEncoder:
@@ -56,8 +70,9 @@ class PieceEncoder:
             raise ValueError(f"ids of {path} do not fit {dtype}")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.memory: dict[str, bytes] = {"": b""}
+        self.met = bytearray(MET_SPOTS)
         self.tokenize = self.tokenizer.model.tokenize
-        self.marks = {m: array(self.code, self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in _MARKS}
+        self.runs: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if not self.keep_spaces:
@@ -65,6 +80,8 @@ class PieceEncoder:
         odd = any(g in text for g in _ASCII_GAPS) if text.isascii() else _OTHER_GAP.search(text)
         if odd or "\0" in text:
             return _SAFE_GAP.split(text)
+        if "\n" in text and not _OTHER_LINE.search(text):
+            text = text.replace("\n", "\0\n\0")
         return text.replace(" ", "\0 ").split("\0")
 
     def _word(self, piece: str) -> bytes | None:
@@ -75,27 +92,53 @@ class PieceEncoder:
             return None
         if not self.keep_spaces:
             piece = piece.lower()
-        if not piece.isascii() or self.keep_spaces:
-            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            if not piece.isascii():
+                piece = piece.translate(_LATIN_LETTERS)
+        else:
+            if not word.isascii():
+                word = word.translate(_LATIN_LETTERS)
+            piece = word if piece[0] != " " else _SPACE_LETTER + word
         return array(self.code, [t.id for t in self.tokenize(piece)]).tobytes()
 
+    def _stem(self, piece: str) -> str:
+        """The piece without what ends it: a mark after an ASCII letter or digit
+        is a token of its own; byte-level tokenizers part any run of signs from
+        a letter or digit."""
+        if self.keep_spaces:
+            stem = piece.rstrip(_SIGNS)
+            return stem if stem and stem[-1] in _LATIN_ALNUM else piece
+        return piece[:-1] if piece[-1] in _MARKS and piece[-2:-1] in _ALNUM else piece
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a run of signs."""
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = array(self.code, self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+            if len(self.runs) < MEMORY_RUNS:
+                self.runs[run] = ids
+        return ids
+
     def _look_up(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that aren't in memory.  A mark after an ASCII letter or
-        digit is a token of its own, so the piece without it is looked up."""
-        memory, out, rest = self.memory, {}, []
+        """Ids of pieces that aren't in memory."""
+        memory, met, out, rest = self.memory, self.met, {}, []
         for p in missing:
-            stem = p[:-1] if p[-1] in _MARKS and p[-2:-1] in _ALNUM else p
+            stem = self._stem(p)
             ids = memory.get(stem) or self._word(stem)
             if ids is None:
                 rest.append(p)
             else:
-                out[p] = ids if stem is p else ids + self.marks[p[-1]]
+                out[p] = ids if len(stem) == len(p) else ids + self._run(p[len(stem) :])
         for at in range(0, len(rest), 4096):
             part = rest[at : at + 4096]
             found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             out.update(zip(part, [array(self.code, e.ids).tobytes() for e in found]))
         if len(memory) < MEMORY_PIECES:  # full: the frequent pieces are long since in it
-            memory.update(out)
+            for p, ids in out.items():
+                spot = hash(p) & MET_SPOTS - 1
+                if met[spot]:
+                    memory[p] = ids
+                else:
+                    met[spot] = 1
         return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:

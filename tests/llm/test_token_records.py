@@ -68,3 +68,25 @@ def test_shuffled_and_partial_reads_use_the_index(spark, docs):
 def test_empty(spark, no_docs):
     index = R.write_records(no_docs, scratch_path(spark, "test-records"), tokenizer_file("byte_bpe_50k.json"))
     assert index.count() == 0 and R.read_records(index).collect() == []
+
+
+LINES = ["a", "Word", " ", "\n", "\n\n", "é.", "Ü", "x!!", "***", "'s", "!'", "12", "<|endoftext|>", "|>", " DE!!", "ª", "²", "$%", "\x0b", "　", "\x1c", "́", "ÿ:"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(LINES), max_size=10).map("".join))
+def test_lines_and_runs_of_signs_give_the_ids_of_the_whole_text(encoders, text):
+    for e in encoders:
+        want = e.tokenizer.encode(text, add_special_tokens=False).ids
+        assert [e.widen(e.encode(text)).tolist() for _ in range(3)] == [want] * 3
+
+
+def test_a_line_feed_is_a_piece_of_its_own_and_a_piece_met_once_is_not_kept(encoders):
+    e = PieceEncoder(tokenizer_file("byte_bpe_50k.json"), True)
+    assert e.pieces("One two.\nThree é\nfour\n") == ["One", " two.", "\n", "Three", " é", "\n", "four", "\n", ""]
+    assert e.pieces("One \ntwo") == ["One", " \ntwo"]
+    words = [f" w{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(600)]
+    e.encode("".join(words))
+    assert len(e.memory) < 10
+    e.encode("".join(words[:300]))
+    assert 300 <= len(e.memory) < 310
