@@ -53,7 +53,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
         "l_returnflag", "l_linestatus", "l_tax", "l_discount",
     )
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    pt = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    pt = table(spark, sf_dir, "part").select("p_partkey", _s("p_retailprice").alias("unit_price"))  # rendered once a part
     j = li.join(od, li.l_orderkey == od.o_orderkey, "left").join(pt, li.l_partkey == pt.p_partkey, "left")
 
     order_id = F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"))
@@ -61,7 +61,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
     customer_id = _s("o_custkey")
     product_id = _s("l_partkey")
     quantity = _s(F.col("l_quantity").cast("int"))
-    unit_price = _s("p_retailprice")
+    unit_price = F.col("unit_price")
     if dirty:
         ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
         tax, disc = F.col("l_tax"), F.col("l_discount")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
@@ -36,6 +37,7 @@ from strata.operators import (
 from strata.plans import adapters as A
 from strata.plans.catalog import create_dimension, drop_registrations
 from strata.plans.daily import DIMENSIONS, ingest_entity, merge_dimension, preview_sales, read_gold, run_day, scd2_merge
+from strata.plans.together import together
 from strata.schemas import CUSTOMER_DIM_SPEC, PRODUCT_DIM_SPEC
 from strata.sinks.layout import FACT_ORDERS, TABLES, in_namespace
 from strata.sinks.versioned import create_versioned_dimension, read_dimension
@@ -212,17 +214,28 @@ def _two_day_run(
     statistics: bool = False,
 ) -> tuple[str, str, DataFrame]:
     """Land two days of snapshots and orders, run the daily job for each;
-    returns (landing root, warehouse root, raw orders)."""
+    returns (landing root, warehouse root, raw orders).
+
+    A day's exports run side by side, and the second day lands while the first
+    is run, so that a cluster's cores don't wait for the last tasks of a step."""
     landing = scratch_path(spark, "pipeline-landing")
     warehouse = scratch_path(spark, "pipeline-warehouse")
     orders = A.raw_orders(spark, sf_dir)
     split = F.col("dt") < F.to_date(F.lit(A.PIPELINE_SPLIT))
-    for day, cond in ((A.DAY1, split), (A.DAY2, ~split)):
-        export_landing(A.raw_customers(spark, sf_dir, day), landing, "customers", day)
-        export_landing(A.raw_products(spark, sf_dir, day, withheld=True), landing, "products", day)
-        export_landing(orders.where(cond).drop("dt"), landing, "orders", day)
-    for day, run in ((A.DAY1, A.RUN1), (A.DAY2, A.RUN2)):
-        run_day(spark, warehouse, day, run, landing_root=landing, register=register, dim_buckets=dim_buckets, ns=ns, statistics=statistics)
+
+    def landed(day: str, cond: Column) -> list[Callable[[], None]]:
+        return [
+            partial(export_landing, orders.where(cond).drop("dt"), landing, "orders", day),
+            partial(export_landing, A.raw_customers(spark, sf_dir, day), landing, "customers", day),
+            partial(export_landing, A.raw_products(spark, sf_dir, day, withheld=True), landing, "products", day),
+        ]
+
+    def run(day: str, run_ts: str) -> Callable[[], None]:
+        return partial(run_day, spark, warehouse, day, run_ts, landing_root=landing, register=register, dim_buckets=dim_buckets, ns=ns, statistics=statistics)
+
+    together(spark, *landed(A.DAY1, split))
+    together(spark, run(A.DAY1, A.RUN1), *landed(A.DAY2, ~split))
+    run(A.DAY2, A.RUN2)()
     return landing, warehouse, orders
 
 

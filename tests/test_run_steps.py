@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import enrich_sales, top_sales
+from strata.plans import adapters as A
 from strata.plans import daily as D
+from strata.plans import registry as R
 from strata.plans.catalog import analyze_columns, list_databases, list_tables, table_details
 from strata.plans.together import together
 from strata.sinks import layout as L
@@ -107,3 +109,25 @@ def test_statistics_and_the_join_that_needs_no_shuffle_of_the_fact(spark, tmp_ro
     assert int(column["distinct_count"]) > 0
     assert {"bronze", "silver", "gold"} <= {r[0] for r in list_databases(spark).collect()}
     assert {r["tableName"] for r in list_tables(spark, "gold").collect()} == {"daily_product_sales"}
+
+
+def test_exports_overlap_and_the_second_day_lands_beside_the_first_run(spark, monkeypatch):
+    first, second, done = threading.Barrier(3, timeout=60), threading.Barrier(4, timeout=60), []
+
+    def export(df, root, entity, day):
+        (first if day == A.DAY1 else second).wait()  # passes only if the others of the group run at once
+        done.append(f"{entity} {day}")
+
+    def run(spark, root, day, run_ts, **kwargs):
+        if day == A.DAY1:
+            second.wait()
+        else:
+            assert len(done) == 7
+        done.append(day)
+
+    monkeypatch.setattr(R, "export_landing", export)
+    monkeypatch.setattr(R, "run_day", run)
+    R._two_day_run(spark, "/root/testdata/sf0.001")
+    entities = ("customers", "orders", "products")
+    assert sorted(done[:3]) == [f"{e} {A.DAY1}" for e in entities]
+    assert sorted(done[3:7]) == sorted([A.DAY1, *(f"{e} {A.DAY2}" for e in entities)]) and done[7] == A.DAY2
